@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+}
 
 
-REVISION = _struct(
-    "page_id string, page_title string, namespace int, rev_id string, parent_rev_id string, "
-    "timestamp string, contributor_username string, is_anon boolean, comment string, text_bytes bigint"
+def _row(**columns: str | T.DataType) -> T.StructType:
+    return T.StructType(
+        [T.StructField(name, _TYPES[kind] if isinstance(kind, str) else kind) for name, kind in columns.items()]
+    )
+
+
+REVISION = _row(
+    page_id="string",
+    page_title="string",
+    namespace="int",
+    rev_id="string",
+    parent_rev_id="string",
+    timestamp="string",
+    contributor_username="string",
+    is_anon="boolean",
+    comment="string",
+    text_bytes="bigint",
 )
 
 # Column order of the tab-separated history dump, all strings. fixed values
@@ -47,28 +66,60 @@ revision_is_from_before_page_creation revision_tags
 
 HISTORY = T.StructType([T.StructField(c, T.StringType()) for c in HISTORY_COLUMNS])
 
-LABELED = _struct(
-    "revision_id string, page_title_historical string, label int, length_delta double, "
-    "is_anon_int int, hour_of_day int, day_of_week int, comment_clean string, title_clean string"
+LABELED = _row(
+    revision_id="string",
+    page_title_historical="string",
+    label="int",
+    length_delta="double",
+    is_anon_int="int",
+    hour_of_day="int",
+    day_of_week="int",
+    comment_clean="string",
+    title_clean="string",
 )
 
-EVENT = _struct(
-    "id bigint, type string, namespace int, title string, comment string, timestamp bigint, "
-    "user string, bot boolean, wiki string, server_name string, "
-    "length struct<old:int,new:int>, revision struct<old:bigint,new:bigint>, "
-    "meta struct<dt:string,id:string>"
+EVENT = _row(
+    id="bigint",
+    type="string",
+    namespace="int",
+    title="string",
+    comment="string",
+    timestamp="bigint",
+    user="string",
+    bot="boolean",
+    wiki="string",
+    server_name="string",
+    length=_row(old="int", new="int"),
+    revision=_row(old="bigint", new="bigint"),
+    meta=_row(dt="string", id="string"),
 )
 
-PREDICTION = _struct(
-    "id string, rev_id string, page_title string, namespace int, user string, is_anon int, "
-    "comment string, length_delta double, timestamp string, wiki string, "
-    "risk_score double, risk_label string, scored int, created_at string"
+PREDICTION = _row(
+    id="string",
+    rev_id="string",
+    page_title="string",
+    namespace="int",
+    user="string",
+    is_anon="int",
+    comment="string",
+    length_delta="double",
+    timestamp="string",
+    wiki="string",
+    risk_score="double",
+    risk_label="string",
+    scored="int",
+    created_at="string",
 )
 PREDICTION_COLUMNS = PREDICTION.fieldNames()
 
-EXPLANATION = _struct("edit_id string, explanation string, model string, generated_at string")
+EXPLANATION = _row(edit_id="string", explanation="string", model="string", generated_at="string")
 
-RESCORE_INPUT = _struct(
-    "id string not null, comment_clean string, title_clean string, length_delta double, "
-    "is_anon_int int, hour_of_day int, day_of_week int"
+RESCORE_INPUT = _row(
+    id="string",
+    comment_clean="string",
+    title_clean="string",
+    length_delta="double",
+    is_anon_int="int",
+    hour_of_day="int",
+    day_of_week="int",
 )

@@ -9,7 +9,7 @@ per split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -26,7 +26,7 @@ _REVISION = (
 _SPLIT = ["_file", "_split"]
 
 
-def _strip(column) -> F.Column:
+def _strip(column: Column) -> Column:
     return F.regexp_replace(column, r"^\s+|\s+$", "")
 
 
