@@ -55,4 +55,4 @@ def linear_score(intercept: float, weights: Mapping[str, float]) -> Column:
 
 def positive_probability(probability: Column) -> Column:
     """Probability of class 1 out of a classifier's vector, 0.5 where there is none."""
-    return F.coalesce(vector_to_array(probability)[1], F.lit(0.5))
+    return F.when(probability.isNotNull(), vector_to_array(probability)[1]).otherwise(0.5)
