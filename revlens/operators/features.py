@@ -151,7 +151,7 @@ def prepare_events(events: DataFrame, iso_weekday: bool = False) -> DataFrame:
     )
 
 
-def _event_rev_id() -> Column:
+def event_revision() -> Column:
     """Revision id, else the event id where the event carries no revision at all."""
     rev = F.col("revision.new").cast("string")
     return F.coalesce(
@@ -162,7 +162,7 @@ def _event_rev_id() -> Column:
 def raw_predictions(events: DataFrame, now: Column | None = None) -> DataFrame:
     """Unscored prediction rows of events."""
     stamp = times.created_text(F.current_timestamp() if now is None else now)
-    rev_id = _event_rev_id()
+    rev_id = event_revision()
     wiki = F.coalesce("wiki", F.lit(""))
     return events.select(
         edit_key(wiki, rev_id).alias("id"),
@@ -187,7 +187,7 @@ def scored_predictions(
 ) -> DataFrame:
     """Scored events as prediction rows; ``risk_score`` must be present."""
     stamp = times.created_text(F.current_timestamp() if now is None else now)
-    rev_id = _event_rev_id()
+    rev_id = event_revision()
     wiki = F.coalesce("wiki", F.lit(""))
     score = F.coalesce("risk_score", F.lit(0.0))
     return scored.select(

@@ -297,10 +297,8 @@ def _landed(spark, sf):
 
 _KEY_SQL = "coalesce(CAST(CASE WHEN new_rev IS NULL THEN id ELSE new_rev END AS VARCHAR), '')"
 _STREAM_SQL = f""", scored_events AS (
-  SELECT *, sha256(wiki || ':' || {_KEY_SQL}) AS key,
-    sha256(wiki || CASE WHEN new_rev IS NULL THEN '' ELSE ':' || new_rev END) AS score_key
-  FROM raw WHERE type = 'edit' AND namespace = 0),
-s AS (SELECT *, CAST('0x' || substr(md5('pass:' || score_key), 1, 8) AS UBIGINT) / 4294967296.0::DOUBLE
+  SELECT *, sha256(wiki || ':' || {_KEY_SQL}) AS key FROM raw WHERE type = 'edit' AND namespace = 0),
+s AS (SELECT *, CAST('0x' || substr(md5('pass:' || key), 1, 8) AS UBIGINT) / 4294967296.0::DOUBLE
   * 0.4::DOUBLE + 0.1::DOUBLE AS sc FROM scored_events)
 SELECT key AS id, {_KEY_SQL} AS rev_id, title AS page_title, uname AS user_name, anon AS is_anon,
   coalesce(comment, '') AS comment, CAST(new_len - coalesce(old_len, 0) AS DOUBLE) AS length_delta, wiki,
@@ -339,11 +337,11 @@ def _replay(spark, sf):
 @query(
     "stream_dedup",
     EVENTS_SQL
-    + """SELECT wiki, count(*) AS n_rows, count(DISTINCT new_rev) AS n_revisions FROM raw
-      WHERE type = 'edit' AND namespace = 0 AND new_rev IS NOT NULL GROUP BY wiki""",
+    + """SELECT wiki, count(*) AS n_rows, count(DISTINCT id) AS n_events FROM raw
+      WHERE type = 'edit' AND namespace = 0 GROUP BY wiki""",
 )
 def _dedup(spark, sf):
-    """Every event lands twice; within the watermark one row per wiki and revision stays."""
+    """Every event lands twice; within the watermark one row per edit stays."""
     paths = ScorerPaths(scratch_path(spark, "predictions"), scratch_path(spark, "archive"))
     start_scorer(
         spark,
@@ -354,7 +352,7 @@ def _dedup(spark, sf):
         max_files=1_000_000,
         dedup_delay="60 days",
     ).awaitTermination()
-    rows = read_table(spark, paths.archive).filter(F.col("revision.new").isNotNull())
+    rows = read_table(spark, paths.archive)
     return rows.groupBy("wiki").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("revision.new").alias("n_revisions")
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_events")
     )

@@ -16,7 +16,12 @@ from revlens.config import SHIPPED_BANDS, RiskBands
 from revlens.functions.keys import edit_key
 from revlens.functions.risk import heuristic_score, risk_band
 from revlens.ml.scoring import score
-from revlens.operators.features import article_edits, event_features, scored_predictions
+from revlens.operators.features import (
+    article_edits,
+    event_features,
+    event_revision,
+    scored_predictions,
+)
 from revlens.operators.tables import latest_by_key
 from revlens.schemas import PREDICTION, PREDICTION_COLUMNS
 from revlens.sinks.tables import append_batch, append_delta, archive
@@ -30,17 +35,18 @@ class ScorerPaths:
     delta: str | None = None
 
 
-def event_id() -> Column:
-    return edit_key(F.col("wiki"), F.col("revision.new").cast("string"))
+def event_key() -> Column:
+    """The id the event's prediction row will have."""
+    return edit_key(F.coalesce("wiki", F.lit("")), event_revision())
 
 
 def drop_repeats(features: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One event per (wiki, revision) within the watermark; state is dropped as the watermark moves."""
+    """One event per edit within the watermark; state is dropped as the watermark moves."""
     return (
-        features.withColumn("_rev", F.col("revision.new"))
+        features.withColumn("_key", event_key())
         .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["wiki", "_rev"])
-        .drop("_rev")
+        .dropDuplicatesWithinWatermark(["_key"])
+        .drop("_key")
     )
 
 
@@ -55,7 +61,7 @@ def score_batch(
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch, model, event_id()).persist(StorageLevel.MEMORY_AND_DISK)
+        scored = score(batch, model, event_key()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if scored.isEmpty():
                 return
