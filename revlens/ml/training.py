@@ -52,6 +52,15 @@ def hashed_rows(df: DataFrame, key: str, cfg: TrainConfig) -> tuple[DataFrame, P
     return hashed.select(*columns), stages
 
 
+ROWS_PER_TASK = 250_000
+
+
+def _packed(df: DataFrame, rows: int) -> DataFrame:
+    """Fewer tasks for a small training set: every optimizer step is a job, and below this many rows
+    per task its start-up outweighs the sums it makes. Larger sets keep their partitions."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def _auc() -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="raw_prediction", metricName="areaUnderROC"
@@ -77,7 +86,7 @@ def _fit_limits(
 
 
 def cross_validate(
-    hashed: DataFrame, cfg: TrainConfig, fold: str = "fold"
+    hashed: DataFrame, cfg: TrainConfig, rows: int, fold: str = "fold"
 ) -> tuple[dict[tuple[float, int], float], int]:
     """Mean AUC per (regParam, maxIter) over the folds, and the number of fits made."""
     sums: dict[tuple[float, int], float] = defaultdict(float)
@@ -86,7 +95,9 @@ def cross_validate(
         train, held = hashed.filter(F.col(fold) != i), hashed.filter(F.col(fold) == i)
         features = Pipeline(stages=fitted_stages(cfg)).fit(train)
         train, held = (
-            features.transform(part).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
+            _packed(features.transform(part).select("label", "features"), rows).persist(
+                StorageLevel.MEMORY_AND_DISK
+            )
             for part in (train, held)
         )
 
@@ -110,10 +121,16 @@ def best_point(scores: dict[tuple[float, int], float]) -> tuple[float, int]:
     return max(scores, key=lambda point: (scores[point], -point[0], -point[1]))
 
 
-def fit_final(hashed: DataFrame, text: PipelineModel, cfg: TrainConfig) -> PipelineModel:
+def fit_final(
+    hashed: DataFrame, text: PipelineModel, cfg: TrainConfig, rows: int | None = None
+) -> PipelineModel:
     """Scoring model over cleaned texts: stateless stages, fitted stages, classifier."""
-    tail = Pipeline(stages=[*fitted_stages(cfg), classifier(cfg)]).fit(hashed)
-    return PipelineModel(stages=[*text.stages, *tail.stages])
+    rows = hashed.count() if rows is None else rows
+    features = Pipeline(stages=fitted_stages(cfg)).fit(hashed)
+    model = classifier(cfg).fit(
+        _packed(features.transform(hashed).select("label", "features"), rows)
+    )
+    return PipelineModel(stages=[*text.stages, *features.stages, model])
 
 
 def train(labeled: DataFrame, key: str, cfg: TrainConfig) -> TrainResult:
@@ -124,14 +141,13 @@ def train(labeled: DataFrame, key: str, cfg: TrainConfig) -> TrainResult:
     hashed, text = hashed_rows(parts.filter(F.col("split") == "train"), key, cfg)
     hashed = stage_table(with_fold(hashed, key, cfg.folds), "train-rows")
 
+    n_train = hashed.count()
     start = time.monotonic()
-    scores, fits = cross_validate(hashed, cfg)
+    scores, fits = cross_validate(hashed, cfg, n_train)
     reg, limit = best_point(scores)
     chosen = replace(cfg, reg_param=reg, max_iter=limit)
-    model = fit_final(hashed, text, chosen)
+    model = fit_final(hashed, text, chosen, n_train)
     seconds = time.monotonic() - start
-
-    n_train = hashed.count()
     metrics = evaluate(model.transform(test)) | {"training_time_seconds": round(seconds, 1)}
     return TrainResult(
         model=model,

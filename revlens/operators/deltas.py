@@ -57,19 +57,18 @@ def with_previous(
     range), pre-aggregated before its shuffle, and joins on the partitioning the window already has.
     """
     span = "_range"
-    held = F.struct(F.col(value).alias("v"))
     ranged = df.withColumn(span, F.expr(f"`{order}` div {width}"))
-
-    last = ranged.groupBy(page, span).agg(F.max_by(held, order).alias("_last"))
+    last = ranged.groupBy(page, span).agg(F.max_by(value, order).alias("_last"))
     carried = last.select(
         page, span, F.lag("_last").over(W.partitionBy(page).orderBy(span)).alias("_carried")
     )
-    local = F.lag(held).over(W.partitionBy(page, span).orderBy(order))
+    local = W.partitionBy(page, span).orderBy(order)
     return (
-        ranged.withColumn("_local", local)
+        ranged.withColumn("_first", F.row_number().over(local) == 1)
+        .withColumn("_local", F.lag(value).over(local))
         .join(carried, [page, span], "left")
-        .withColumn(output, F.coalesce("_local", "_carried")["v"])
-        .drop(span, "_local", "_carried")
+        .withColumn(output, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local")))
+        .drop(span, "_first", "_local", "_carried")
     )
 
 

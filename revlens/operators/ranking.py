@@ -27,6 +27,8 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
 def _ranged(counts: DataFrame, ranges: int) -> DataFrame:
     probs = [i / ranges for i in range(1, ranges)]
     bounds = counts.agg(F.percentile_approx("score", probs, 10 * ranges)).first()[0] or []
+    if not bounds:
+        return counts.withColumn("range", F.lit(0.0))
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
     return Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
 

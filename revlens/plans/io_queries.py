@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from revlens.operators import features
 from revlens.operators.tables import latest_by_key
-from revlens.plans.registry import query, table
+from revlens.plans.registry import query, table, texts
 from revlens.plans.views import EDITS_SQL, EVENTS_SQL, edits, raw_events
 from revlens.schemas import HISTORY_COLUMNS, PREDICTION_COLUMNS
-from revlens.session import scratch_path
+from revlens.session import scratch_path, spread
 from revlens.sinks import tables as sinks
 from revlens.sources import events as event_source
 from revlens.sources import files, history, xml
@@ -25,7 +25,7 @@ from revlens.streaming.scorer import ScorerPaths, read_predictions, start_scorer
 def write_history(spark: SparkSession, sf: str) -> str:
     """Edits as a bz2 history dump: some rows are not revision creates, some lack flag or size."""
     k = F.element_at(F.split("page_title", " "), -1).cast("int")
-    rows = edits(spark, sf).withColumn("k", k)
+    rows = spread(edits(spark, sf)).withColumn("k", k)
     signup = F.col("page_title").startswith("signup")
     fields = {
         "wiki_db": F.col("wiki"),
@@ -85,7 +85,7 @@ def _history_lenient(spark, sf):
 def _raw_bytes(spark, sf):
     """Uncompressed size of a bz2 text dump of all documents."""
     path = scratch_path(spark, "lines")
-    docs = table(spark, sf, "documents").select("text")
+    docs = texts(spark, sf).select("text")
     docs.write.option("compression", "bzip2").text(path)
     return files.raw_bytes(spark, path).agg(F.sum("n_bytes").alias("n_bytes"))
 
@@ -136,7 +136,7 @@ def write_dump(spark: SparkSession, sf: str) -> str:
         F.lit("</id>\n"), body, F.lit("  </page>"),
     )
     path = scratch_path(spark, "dump")
-    table(spark, sf, "documents").select(page.alias("value")).write.option(
+    texts(spark, sf).select(page.alias("value")).write.option(
         "compression", "bzip2"
     ).text(path)
     return path
@@ -268,7 +268,7 @@ def _upsert(spark, sf):
 def land(spark: SparkSession, sf: str, copies: int = 1) -> str:
     """Events as landed JSON lines, with a broken line after each."""
     path = scratch_path(spark, "landing")
-    good = event_source.to_messages(raw_events(spark, sf))
+    good = event_source.to_messages(spread(raw_events(spark, sf)))
     lines = [good, good.select(F.concat(F.lit("{"), "value").alias("value"))]
     all_lines = lines[0].unionByName(lines[1])
     for _ in range(copies - 1):

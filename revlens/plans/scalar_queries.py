@@ -12,7 +12,7 @@ from revlens.functions.text import clean_text, tokens
 from revlens.operators import features
 from revlens.operators.deltas import delta_or_zero
 from revlens.operators.tables import rule_explanations
-from revlens.plans.registry import query, table
+from revlens.plans.registry import query, table, texts
 from revlens.plans.views import EDITS_SQL, EVENTS_SQL, edits, raw_events
 from revlens.sources.events import parse_messages, to_messages
 
@@ -26,7 +26,7 @@ CLEAN_SQL = "lower(regexp_replace(text, '[^a-zA-Z0-9\\s]', ' ', 'g'))"
 )
 def _clean(spark, sf):
     cleaned = clean_text(F.col("text"))
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf).select(
         "doc_id", F.md5(cleaned).alias("clean_md5"), F.length(cleaned).alias("clean_chars")
     )
 
@@ -39,7 +39,7 @@ def _clean(spark, sf):
 )
 def _tokens(spark, sf):
     counted = F.size(tokens(clean_text(F.col("text"))))
-    return table(spark, sf, "documents").select("doc_id", counted.alias("n_tokens"))
+    return texts(spark, sf).select("doc_id", counted.alias("n_tokens"))
 
 
 @query(

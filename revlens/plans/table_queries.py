@@ -9,7 +9,7 @@ from revlens.functions.times import created_text
 from revlens.operators import confusion, deltas, feed, ranking, splits, stats, tables
 from revlens.operators.features import history_steps
 from revlens.operators.tfidf import tfidf
-from revlens.plans.registry import query, table
+from revlens.plans.registry import query, table, texts
 from revlens.plans.scalar_queries import EXPLAIN_SQL, REASONS_SQL, RISKY_SQL, SCORE_SQL
 from revlens.plans.views import EDITS_SQL, edits, revisions, turns
 from revlens.sources.files import size_rows, size_totals
@@ -622,7 +622,7 @@ def _folds(spark, sf):
     FROM terms JOIN dfs USING (bucket)""",
 )
 def _tfidf(spark, sf):
-    scored = tfidf(table(spark, sf, "documents"), "doc_id", "text")
+    scored = tfidf(texts(spark, sf), "doc_id", "text")
     return scored.select(
         "doc_id", "bucket", "tf", F.round("idf", 6).alias("idf"), F.round("tfidf", 6).alias("tfidf")
     )

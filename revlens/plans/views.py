@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from revlens.functions.authors import is_anon
 from revlens.functions.risk import risk_band
 from revlens.functions.times import created_text
-from revlens.plans.registry import table
+from revlens.plans.registry import table, texts
 from revlens.schemas import EVENT
 
 # comment of an event by its k; the texts touch every rule, NULL and blanks included
@@ -196,8 +196,7 @@ raw AS (
 
 
 def revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return docs.select(
+    return texts(spark, sf_dir).select(
         F.col("doc_id").alias("rev_id"),
         F.col("source").alias("page_id"),
         F.col("source").alias("page_title"),

@@ -62,3 +62,14 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """More tasks for heavy row-local work on an input of few partitions.
+
+    A table of one large row group is read by one task whatever the split size. If the scan has
+    fewer partitions than there are cores its rows are dealt out evenly; any larger input is left as
+    it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
