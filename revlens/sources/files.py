@@ -89,15 +89,20 @@ def file_checksums(files: DataFrame) -> DataFrame:
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
+        from urllib.parse import quote
 
         from pyarrow import fs
 
         for batch in batches:
             sums = []
             for path in batch["path"]:
-                system, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1))
+                if path.startswith("file:"):
+                    system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+                else:
+                    system, inner = fs.FileSystem.from_uri(quote(path, safe="/:@"))
                 md5 = hashlib.md5()
-                with system.open_input_stream(inner) as stream:
+                # the stored bytes, also of compressed files
+                with system.open_input_stream(inner, compression=None) as stream:
                     while piece := stream.read(8 << 20):
                         md5.update(piece)
                 sums.append(md5.hexdigest())

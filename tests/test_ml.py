@@ -29,7 +29,7 @@ def labeled_rows(spark, n=600):
     noise = F.pmod(F.xxhash64("id"), F.lit(10))
     return spark.range(n).select(
         i.cast("string").alias("revision_id"),
-        ((i % 5 == 0) ^ (noise < 2)).cast("int").alias("label"),
+        ((i % 5 == 0) != (noise < 2)).cast("int").alias("label"),
         (F.when(i % 5 == 0, -50.0).otherwise(120.0) + noise * 40).alias("length_delta"),
         (i % 4 == 0).cast("int").alias("is_anon_int"),
         (i % 24).cast("int").alias("hour_of_day"),
