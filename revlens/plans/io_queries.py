@@ -266,17 +266,28 @@ def _upsert(spark, sf):
 
 
 def land(spark: SparkSession, sf: str, copies: int = 1) -> str:
-    """Events as landed JSON lines, with a broken line after each."""
+    """Events as landed JSON lines, each ``copies`` times and once broken, with blank lines between."""
     path = scratch_path(spark, "landing")
     good = event_source.to_messages(spread(raw_events(spark, sf)))
-    lines = [good, good.select(F.concat(F.lit("{"), "value").alias("value"))]
-    all_lines = lines[0].unionByName(lines[1])
-    for _ in range(copies - 1):
-        all_lines = all_lines.unionByName(good)
-    all_lines.write.text(path)
+    value = F.col("value")
+    noise = [F.lit(""), F.lit("  "), F.concat(F.lit("{"), value)]
+    good.select(F.explode(F.array(*[value] * copies, *noise)).alias("value")).write.text(path)
     return path
 
 
+@query(
+    "feed_ingest",
+    EVENTS_SQL
+    + """SELECT id, title, wiki, new_rev FROM raw
+      WHERE type = 'edit' AND wiki = 'enwiki' AND namespace = 0""",
+)
+def _ingest(spark, sf):
+    """Messages of the target wiki; blank and broken messages between them are dropped."""
+    return event_source.parse_messages(spark.read.text(land(spark, sf))).select(
+        "id", "title", "wiki", F.col("revision.new").alias("new_rev")
+    )
+
+
 @query(
     "landed_events",
     EVENTS_SQL

@@ -14,7 +14,8 @@ from revlens.operators.deltas import delta_or_zero
 from revlens.operators.tables import rule_explanations
 from revlens.plans.registry import query, table, texts
 from revlens.plans.views import EDITS_SQL, EVENTS_SQL, edits, raw_events
-from revlens.sources.events import parse_messages, to_messages
+from revlens.session import spread
+from revlens.sources.events import to_messages
 
 CLEAN_SQL = "lower(regexp_replace(text, '[^a-zA-Z0-9\\s]', ' ', 'g'))"
 
@@ -136,26 +137,11 @@ def _json_features(spark, sf):
     """Events go through JSON text and back before they become records."""
     from revlens.schemas import EVENT
 
-    messages = to_messages(raw_events(spark, sf))
-    parsed = messages.select(F.from_json("value", EVENT).alias("e")).select("e.*")
+    messages = to_messages(spread(raw_events(spark, sf)))
+    parsed = messages.select(F.inline(F.array(F.from_json("value", EVENT))))
     return features.prepare_events(parsed)
 
 
-@query(
-    "feed_ingest",
-    EVENTS_SQL
-    + """SELECT id, title, wiki, new_rev FROM raw
-      WHERE type = 'edit' AND wiki = 'enwiki' AND namespace = 0""",
-)
-def _ingest(spark, sf):
-    """Messages of the target wiki; blank and broken messages between them are dropped."""
-    good = to_messages(raw_events(spark, sf))
-    noise = good.select(F.explode(F.array(F.lit(" "), F.concat(F.lit("{"), "value"))).alias("value"))
-    return parse_messages(good.unionByName(noise)).select(
-        "id", "title", "wiki", F.col("revision.new").alias("new_rev")
-    )
-
-
 @query(
     "article_edit_features",
     EVENTS_SQL

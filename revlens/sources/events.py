@@ -24,13 +24,13 @@ def target_edits(wiki: str = "enwiki") -> Column:
 def parse_messages(messages: DataFrame, wiki: str = "enwiki", value: str = "value") -> DataFrame:
     """Feed messages (one JSON text per row) to events of the target wiki; the rest is dropped.
 
-    The same expression serves a batch frame and a text or Kafka stream.
+    The same expression serves a batch frame and a text or Kafka stream. The event is unfolded with
+    ``inline``: as a plain struct column the optimizer would copy the parse into each part of the filter.
     """
     event = F.from_json(F.col(value), EVENT)
     return (
         messages.filter(~F.coalesce(F.trim(F.col(value)) == "", F.lit(True)))
-        .select(event.alias("e"))
-        .select("e.*")
+        .select(F.inline(F.array(event)))
         .filter(target_edits(wiki))
     )
 

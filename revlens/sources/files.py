@@ -16,7 +16,8 @@ REQUIRED_BYTES = 10_000_000_000
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, length) of matching files; contents are not read. A missing folder is an error."""
+    """(path, length) of matching files; contents are not read. Empty files are not listed; a
+    missing folder is an error."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)

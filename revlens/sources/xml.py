@@ -5,6 +5,9 @@ grows with the length of a page's history, which for busy pages exceeds what one
 Page title, namespace and id stand once, before the page's first revision; they are carried forward
 to the page's later revisions, within a file split by a window and across splits by one summary row
 per split.
+
+Most of a record is the revision's text, of which only the size is wanted. It is cut off at its tag
+and the size read from the tag; the body goes through an XML parser only where that size is broken.
 """
 
 from __future__ import annotations
@@ -21,8 +24,9 @@ from revlens.session import stage_table
 _PAGE = "title string, ns string, id string"
 _REVISION = (
     "id string, parentid string, timestamp string, contributor struct<username:string,ip:string>, "
-    "comment string, text struct<_bytes:string,_VALUE:string>"
+    "comment string"
 )
+_BODY = "text struct<_bytes:string,_VALUE:string>"
 _SPLIT = ["_file", "_split"]
 
 
@@ -37,8 +41,17 @@ def revision_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     head = F.substring_index(F.substring_index("value", "<page>", -1), "<revision>", 1)
     options = {"attributePrefix": "_", "valueTag": "_VALUE", "ignoreSurroundingSpaces": "false"}
     page = F.from_xml(F.concat(F.lit("<page>"), head, F.lit("</page>")), _PAGE, options)
-    rev = F.from_xml(
-        F.concat(F.lit("<revision>"), body, F.lit("</revision>")), _REVISION, options
+
+    def revision(inner: Column, schema: str) -> Column:
+        return F.from_xml(F.concat(F.lit("<revision>"), inner, F.lit("</revision>")), schema, options)
+
+    text_tag = F.substring_index(F.substring_index(F.concat(body, F.lit("<text")), "<text", 2), "<text", -1)
+    stated = F.trim(F.regexp_extract(F.substring_index(text_tag, ">", 1), r"""\sbytes=["']([^"']*)""", 1))
+    measured = F.octet_length(F.coalesce(revision(body, _BODY)["text"]["_VALUE"], F.lit("")))
+    text_bytes = (
+        F.when(stated == "", F.lit(0).cast("bigint"))
+        .when(stated.try_cast("bigint").isNotNull(), stated.try_cast("bigint"))
+        .otherwise(measured.cast("bigint"))
     )
     located = chunks.select(
         "value",
@@ -50,9 +63,9 @@ def revision_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         *_SPLIT,
         "_seq",
         F.when(F.contains("value", F.lit("<page>")), page).alias("_page"),
-        rev.alias("r"),
+        revision(F.substring_index(body, "<text", 1), _REVISION).alias("r"),
+        text_bytes.alias("text_bytes"),
     )
-    bytes_text = F.col("r.text._bytes")
     user = F.coalesce(F.col("r.contributor.ip"), F.col("r.contributor.username"), F.lit(""))
     return parsed.select(
         *_SPLIT,
@@ -64,15 +77,7 @@ def revision_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         user.alias("contributor_username"),
         (F.col("r.contributor.ip").isNotNull() | is_anon(user)).alias("is_anon"),
         _strip(F.coalesce(F.col("r.comment"), F.lit(""))).alias("comment"),
-        F.when(F.coalesce(bytes_text, F.lit("")) == "", 0)
-        .otherwise(
-            F.coalesce(
-                F.trim(bytes_text).try_cast("bigint"),
-                F.octet_length(F.coalesce(F.col("r.text._VALUE"), F.lit(""))),
-            )
-        )
-        .cast("bigint")
-        .alias("text_bytes"),
+        "text_bytes",
     )
 
 

@@ -165,7 +165,7 @@ def test_messages(spark):
 
 
 def test_checksums_and_inventory(spark, tmp_path):
-    bodies = {"a.bz2": b"abc" * 5_000_000, "b.bz2": b"", "c d.bz2": b"z"}
+    bodies = {"a.bz2": b"abc" * 5_000_000, "b.bz2": bz2.compress(b"b"), "c d.bz2": b"z"}
     for name, body in bodies.items():
         (tmp_path / name).write_bytes(body)
     listed = files.list_files(spark, str(tmp_path), "*.bz2")
