@@ -47,28 +47,45 @@ def with_placeholder_parent(revisions: DataFrame) -> DataFrame:
 
 
 def with_previous(
-    df: DataFrame, page: str, order: str, value: str, output: str, width: int = 1_000_000
+    df: DataFrame,
+    page: str,
+    order: str,
+    value: str,
+    output: str,
+    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """``lag(value)`` per page in the order of a unique integer id.
 
-    One page may hold a large part of all rows, so the lag runs per (page, id range): ids are unique,
-    hence a range of ``width`` ids bounds every window group. Only the first row of a range needs
-    the last value of the page's previous non-empty range; that comes from one row per (page,
-    range), pre-aggregated before its shuffle, and joins on the partitioning the window already has.
+    One page may hold a large part of all rows. Pages of more than ``hot_rows`` rows are cut into
+    ranges of ``hot_rows`` ids: ids are unique, so that bounds every window group. Only the first row
+    of a range needs the last value of the page's previous non-empty range, which comes from one row
+    per range. At most rows / ``hot_rows`` pages can be that large, which bounds the broadcast; without
+    any, the later join is against nothing and AQE drops it.
     """
-    span = "_range"
-    ranged = df.withColumn(span, F.expr(f"`{order}` div {width}"))
-    last = ranged.groupBy(page, span).agg(F.max_by(value, order).alias("_last"))
+    hot = (
+        df.groupBy(page)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter((F.col("_n") > hot_rows) & F.col(page).isNotNull())
+        .select(page, F.lit(True).alias("_hot"))
+    )
+    cut = F.when(F.col("_hot"), F.expr(f"`{order}` div {hot_rows}")).otherwise(F.lit(0))
+    marked = df.join(F.broadcast(hot), page, "left")
+    ranged = marked.withColumn("_range", cut.cast("bigint"))
+    last = (
+        ranged.filter(F.col("_hot"))
+        .groupBy(page, "_range")
+        .agg(F.max_by(value, order).alias("_last"))
+    )
     carried = last.select(
-        page, span, F.lag("_last").over(W.partitionBy(page).orderBy(span)).alias("_carried")
+        page, "_range", F.lag("_last").over(W.partitionBy(page).orderBy("_range")).alias("_carried")
     )
-    local = W.partitionBy(page, span).orderBy(order)
+    local = W.partitionBy(page, "_range").orderBy(order)
     return (
         ranged.withColumn("_first", F.row_number().over(local) == 1)
         .withColumn("_local", F.lag(value).over(local))
-        .join(carried, [page, span], "left")
+        .join(carried, [page, "_range"], "left")
         .withColumn(output, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local")))
-        .drop(span, "_first", "_local", "_carried")
+        .drop("_hot", "_range", "_first", "_local", "_carried")
     )
 
 

@@ -195,3 +195,20 @@ def display_rows(predictions: DataFrame, now: Column) -> DataFrame:
         F.coalesce(stamp, F.lit("")).alias("timestamp"),
         F.coalesce("rev_id", F.lit("")).alias("rev_id"),
     )
+
+
+def edit_details(predictions: DataFrame) -> DataFrame:
+    """Headline texts of single edits."""
+    score = F.col("risk_score")
+    band = F.when(missing(F.col("risk_label")), "UNSCORED").otherwise(F.col("risk_label"))
+    return predictions.select(
+        "id",
+        F.when(missing(F.col("page_title")), "Unknown page")
+        .otherwise(F.col("page_title"))
+        .alias("title"),
+        band.alias("risk"),
+        F.coalesce(percent(score), F.lit("not scored")).alias("score_text"),
+        F.when(missing(F.col("comment")), "No edit summary provided by the editor.")
+        .otherwise(F.col("comment"))
+        .alias("summary"),
+    )

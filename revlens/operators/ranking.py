@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from revlens.session import stage_table
+
 RANGES = 512
 
 
@@ -63,7 +65,9 @@ def ranking_metrics(df: DataFrame, score: str, label: str, ranges: int = RANGES)
     Ties count half in the ROC area. The precision-recall curve is joined by straight lines and
     starts at recall 0 with the precision of its first point.
     """
-    curve = running_counts(score_counts(df, score, label), ranges)
+    # three readers follow: the scores, often a model's output, are computed once
+    counts = stage_table(score_counts(df, score, label), "score-counts")
+    curve = running_counts(counts, ranges)
     tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
     seen_before = tp + fp - pos - neg
     precision = tp / (tp + fp)

@@ -82,6 +82,12 @@ def rule_explanations(edits: DataFrame, now: Column | None = None) -> DataFrame:
     )
 
 
+def latest_explanations(explanations: DataFrame) -> DataFrame:
+    """The newest explanation per edit of a table that is only appended to."""
+    newest = [F.desc("generated_at"), F.desc("explanation")]
+    return latest_by_key(explanations, ["edit_id"], newest)
+
+
 def answer_explanations(
     requests: DataFrame,
     predictions: DataFrame,

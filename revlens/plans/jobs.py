@@ -8,10 +8,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from revlens.config import HISTORY, JobConfig
-from revlens.functions.labels import weak_label
 from revlens.ml.scoring import rescore, save_model
 from revlens.ml.training import TrainResult, train
 from revlens.operators import stats
@@ -23,6 +21,7 @@ from revlens.operators.features import (
     history_steps,
     revision_features,
 )
+from revlens.operators.labeling import apply_weak_labels
 from revlens.session import pin_utc, stage_table
 from revlens.sinks.documents import model_manifest, read_document, write_document
 from revlens.sinks.tables import write_revisions, write_table
@@ -53,8 +52,7 @@ def run_batch(spark: SparkSession, cfg: JobConfig) -> JobResult:
         write_table(rows, cfg.path("features"))
     if "label" in cfg.phases:
         rows = read_table(spark, cfg.path("features"))
-        label = weak_label(F.col("comment"), F.col("is_anon_int"), F.col("length_delta"))
-        write_table(rows.withColumn("label", label), cfg.path("labeled"))
+        write_table(apply_weak_labels(rows), cfg.path("labeled"))
         labeled = read_table(spark, cfg.path("labeled"))
         result.counts["labels"] = read_document(stats.label_counts(labeled))
     if "train" in cfg.phases:

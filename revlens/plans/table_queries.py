@@ -562,6 +562,35 @@ def _cache(spark, sf):
     return tables.answer_explanations(requests, rows, _explained(rows), now).drop("model")
 
 
+@query(
+    "explanation_upsert",
+    EDITS_SQL
+    + f""", {REASONS_SQL}
+    SELECT id AS edit_id, {EXPLAIN_SQL} AS explanation,
+      CASE WHEN scored = 1 THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS generated_at
+    FROM reasoned""",
+)
+def _explanation_upsert(spark, sf):
+    """Every edit explained once, scored ones explained again later; the later text counts."""
+    rows = edits(spark, sf)
+    first, second = (F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp") for d in (1, 2))
+    stored = tables.rule_explanations(rows, first)
+    again = tables.rule_explanations(rows.filter(F.col("scored") == 1), second)
+    return tables.latest_explanations(stored.unionByName(again)).drop("model")
+
+
+@query(
+    "edit_details",
+    EDITS_SQL
+    + """SELECT id, page_title AS title, coalesce(risk_label, 'UNSCORED') AS risk,
+      coalesce(printf('%.1f', risk_score * 100) || '%', 'not scored') AS score_text,
+      CASE WHEN coalesce(comment, '') = '' THEN 'No edit summary provided by the editor.' ELSE comment END
+        AS summary FROM edits""",
+)
+def _details(spark, sf):
+    return feed.edit_details(edits(spark, sf))
+
+
 @query(
     "source_union",
     """SELECT 'event' AS kind, CAST(event_id AS VARCHAR) AS id, event_type AS title FROM events
@@ -708,6 +737,22 @@ def _cells(spark, sf):
     return confusion.confusion_cells(_size_scores(spark, sf))
 
 
+@query(
+    "confusion_document",
+    _SCORED_SQL
+    + """, c AS (SELECT label AS actual, prediction AS predicted, count(*) AS n FROM x GROUP BY 1, 2)
+    SELECT 'run' AS run_id, '[' || string_agg('{"actual":' || actual || ',"predicted":' || predicted
+        || ',"count":' || n || '}', ',' ORDER BY actual, predicted) || ']' AS confusion_matrix,
+      CAST(sum(CASE WHEN actual = 1 AND predicted = 1 THEN n ELSE 0 END) AS BIGINT) AS tp,
+      CAST(sum(CASE WHEN actual = 0 AND predicted = 0 THEN n ELSE 0 END) AS BIGINT) AS tn FROM c""",
+)
+def _confusion_document(spark, sf):
+    document = confusion.confusion_document(_size_scores(spark, sf), "run")
+    return document.select(
+        "run_id", F.to_json("confusion_matrix").alias("confusion_matrix"), "tp", "tn"
+    )
+
+
 @query(
     "weighted_metrics",
     _SCORED_SQL

@@ -17,14 +17,19 @@ def land_events(
     wiki: str = "enwiki",
     flush_seconds: int | None = 10,
     events_per_file: int = EVENTS_PER_FILE,
+    max_events: int | None = None,
 ) -> StreamingQuery:
     """Filters a message stream and lands it as JSON lines.
 
     A flush happens per trigger; no file holds more than ``events_per_file`` events. Without
-    ``flush_seconds`` the query drains what is there and stops.
+    ``flush_seconds`` the query drains what is there and stops. ``max_events`` ends the landing after that
+    many events; only then do they pass one task, which counts them.
     """
+    events = parse_messages(messages, wiki)
+    if max_events is not None:
+        events = events.limit(max_events)
     writer = (
-        to_messages(parse_messages(messages, wiki))
+        to_messages(events)
         .writeStream.format("text")
         .option("maxRecordsPerFile", events_per_file)
         .option("checkpointLocation", checkpoint)

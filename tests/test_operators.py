@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlens.operators import confusion, deltas, feed, ranking, splits, stats, tables
+from revlens.operators.labeling import apply_weak_labels
 from revlens.plans.views import edits, turns
 from tests.conftest import rows
 
@@ -15,7 +16,7 @@ from tests.conftest import rows
 
 
 def test_ranged_lag_equals_plain_lag(spark):
-    """Any range width gives the lag of a single window, gaps, one hot page and NULLs included."""
+    """Any bound on hot pages gives the lag of a single window, gaps and NULLs included."""
     rng = random.Random(7)
     data = [
         (i, "hot" if rng.random() < 0.5 else f"p{rng.randrange(9)}",
@@ -24,8 +25,8 @@ def test_ranged_lag_equals_plain_lag(spark):
     ]
     df = spark.createDataFrame(data, "id bigint, page string, size bigint")
     plain = df.withColumn("prev", F.lag("size").over(W.partitionBy("page").orderBy("id")))
-    for width in (1, 7, 400, 1_000_000):
-        ranged = deltas.with_previous(df, "page", "id", "size", "prev", width)
+    for hot_rows in (1, 7, 90, 400, 1_000_000):
+        ranged = deltas.with_previous(df, "page", "id", "size", "prev", hot_rows)
         assert rows(ranged.select("id", "prev")) == rows(plain.select("id", "prev"))
 
 
@@ -151,6 +152,19 @@ def test_explanation_answers(spark, predictions):
 # ---- statistics
 
 
+def test_label_columns_may_have_either_name(spark):
+    data = [("rv", True, 0.0), ("ok", False, -501.0), (None, False, 0.0)]
+    one = spark.createDataFrame(data, "comment string, is_anon boolean, length_delta double")
+    two = one.select(
+        F.col("comment").alias("comment_clean"),
+        F.col("is_anon").cast("int").alias("is_anon_int"),
+        "length_delta",
+    )
+    for df in (one, two):
+        assert [r.label for r in apply_weak_labels(df).collect()] == [1, 1, 0]
+        assert [r.label for r in apply_weak_labels(df, null_as_zero=False).collect()] == [1, 1, None]
+
+
 def test_empty_input_gives_zero_rates(spark):
     empty = spark.createDataFrame([], "label int")
     assert tuple(stats.label_stats(empty).first()) == (0, 0, 0, 0.0)

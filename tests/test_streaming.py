@@ -120,6 +120,16 @@ def test_landing(spark, tmp_path):
     assert len(list((tmp_path / "landed").glob("*.txt"))) == 2
 
 
+def test_landing_stops_after_a_number_of_events(spark, tmp_path):
+    feed, target = tmp_path / "feed", str(tmp_path / "landed")
+    feed.mkdir()
+    (feed / "m.txt").write_text("\n".join(json.dumps(event(i)) for i in range(50)) + "\n")
+    land_events(
+        spark.readStream.text(str(feed)), target, str(tmp_path / "c"), flush_seconds=None, max_events=20
+    ).awaitTermination()
+    assert read_events(spark, target).count() == 20
+
+
 def test_pending_rows_get_heuristic_scores(spark):
     data = [("a", "rv vandalism", "10.0.0.1", 1, -600.0, None, None, 0, "t1"),
             ("b", "ok", "Ann", 0, 1.0, 0.5, "HIGH", 1, "t2")]
