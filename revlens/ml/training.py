@@ -40,6 +40,7 @@ class TrainResult:
     rows: dict[str, int]
     seconds: float
     test: DataFrame
+    scored: DataFrame
     fits: int = 0
     folds: int = field(default=3)
 
@@ -54,6 +55,9 @@ def hashed_rows(df: DataFrame, key: str, cfg: TrainConfig) -> tuple[DataFrame, P
 
 ROWS_PER_TASK = 250_000
 
+# what the metrics read of a scored row; written once, as several of them make a pass each
+SCORED = ("raw_prediction", "probability", "prediction")
+
 
 def _packed(df: DataFrame, rows: int) -> DataFrame:
     """Fewer tasks for a small training set: every optimizer step is a job, and below this many rows
@@ -148,7 +152,9 @@ def train(labeled: DataFrame, key: str, cfg: TrainConfig) -> TrainResult:
     chosen = replace(cfg, reg_param=reg, max_iter=limit)
     model = fit_final(hashed, text, chosen, n_train)
     seconds = time.monotonic() - start
-    metrics = evaluate(model.transform(test)) | {"training_time_seconds": round(seconds, 1)}
+    columns = [key, F.col("label").cast("double").alias("label"), *SCORED]
+    scored = stage_table(model.transform(test).select(*columns), "test-scores")
+    metrics = evaluate(scored) | {"training_time_seconds": round(seconds, 1)}
     return TrainResult(
         model=model,
         best=best_params(model),
@@ -157,6 +163,7 @@ def train(labeled: DataFrame, key: str, cfg: TrainConfig) -> TrainResult:
         rows={"train": n_train, "test": total - n_train},
         seconds=seconds,
         test=test,
+        scored=scored,
         fits=fits + 1,
         folds=cfg.folds,
     )

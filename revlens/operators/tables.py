@@ -96,6 +96,9 @@ def answer_explanations(
 ) -> DataFrame:
     """Answers a set of requests (``edit_id``, ``force_refresh``) from the cache or by rule.
 
+    A request made many times is answered once; repeats are folded before the shuffle, so a popular
+    edit does not fill one task.
+
     The cache is asked first, so a stored explanation answers even for an edit that is gone. ``found``
     is false for unknown edits; rows with ``found and not cached`` are the ones to append to the
     explanations table, whose newest row per edit counts.
@@ -105,7 +108,8 @@ def answer_explanations(
         F.struct("explanation", "model", "generated_at").alias("_stored"),
     )
     known = predictions.withColumnRenamed("id", "edit_id").withColumn("_known", F.lit(True))
-    joined = requests.join(known, "edit_id", "left").join(stored, "edit_id", "left")
+    asked = requests.select("edit_id", "force_refresh").distinct()
+    joined = asked.join(known, "edit_id", "left").join(stored, "edit_id", "left")
     cached = F.col("_stored").isNotNull() & ~F.col("force_refresh")
     found = cached | F.col("_known").isNotNull()
     stamp = (F.current_timestamp() if now is None else now).cast("string")

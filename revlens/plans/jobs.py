@@ -124,6 +124,5 @@ def _train(labeled: DataFrame, key: str, cfg: JobConfig, source: str, label: str
         stats.label_stats(labeled), run_id, cfg.path("model"), source, label, trained.metrics
     )
     write_document(manifest, cfg.path("model_manifest"))
-    scored = trained.model.transform(trained.test)
-    write_document(confusion_document(scored, run_id), cfg.path("confusion_matrix"))
+    write_document(confusion_document(trained.scored, run_id), cfg.path("confusion_matrix"))
     return trained
