@@ -362,6 +362,7 @@ def _dedup(spark, sf):
         trigger_seconds=None,
         max_files=1_000_000,
         dedup_delay="60 days",
+        state_partitions=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     rows = read_table(spark, paths.archive)
     return rows.groupBy("wiki").agg(

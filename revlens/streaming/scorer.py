@@ -86,8 +86,13 @@ def start_scorer(
     trigger_seconds: int | None = 30,
     max_files: int = 10,
     dedup_delay: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Runs until stopped, or with ``trigger_seconds=None`` until the landed files are used up."""
+    """Runs until stopped, or with ``trigger_seconds=None`` until the landed files are used up.
+
+    The state of ``dedup_delay`` keeps for good the number of partitions of its first start, and AQE does not
+    merge them; ``state_partitions`` sets that number for this query alone.
+    """
     features = event_features(article_edits(stream_events(spark, landing, max_files)))
     if dedup_delay:
         features = drop_repeats(features, dedup_delay)
@@ -98,13 +103,26 @@ def start_scorer(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, state_partitions)
+    try:
+        return writer.start()  # a started query keeps its own copy of the settings
+    finally:
+        spark.conf.set(name, before)
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Latest row per edit of a table written batch by batch."""
+def read_predictions(spark: SparkSession, *paths: str) -> DataFrame:
+    """Latest row per edit over tables written batch by batch and compacted generations of them.
+
+    Rows of a generation carry no batch id and give way to a batch row of the same time.
+    """
     layout = T.StructType([*PREDICTION.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(layout).parquet(path)
+    rows = spark.read.schema(layout).parquet(paths[0])
+    for path in paths[1:]:
+        rows = rows.unionByName(spark.read.schema(layout).parquet(path))
     return latest_by_key(rows, ["id"], [F.desc("created_at"), F.desc("batch_id")]).select(
         *PREDICTION_COLUMNS
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from revlens.functions.risk import risk_band
 from revlens.operators.features import article_edits, event_features
 from revlens.schemas import PREDICTION_COLUMNS
+from revlens.sinks.tables import compact_latest
 from revlens.sources.events import read_events
 from revlens.streaming.landing import land_events
 from revlens.streaming.scorer import (
@@ -94,9 +95,26 @@ def test_same_edit_in_a_later_batch_replaces_the_earlier(spark, landing, tmp_pat
     assert stored.filter("rev_id = '1003'").first().comment == "late"
 
 
+def test_compacted_generation_and_later_batches(spark, landing, tmp_path):
+    paths = run(spark, landing, tmp_path)
+    first = read_predictions(spark, paths.predictions)
+    generation, live = str(tmp_path / "generation"), str(tmp_path / "live")
+    compact_latest(first, generation)
+    assert rows(read_predictions(spark, generation)) == rows(first)
+    (tmp_path / "landing2").mkdir()
+    lines = [json.dumps(event(3, comment="late")), json.dumps(event(300))]
+    (tmp_path / "landing2" / "b.jsonl").write_text("\n".join(lines) + "\n")
+    start_scorer(
+        spark, str(tmp_path / "landing2"), str(tmp_path / "c2"), ScorerPaths(live), trigger_seconds=None
+    ).awaitTermination()
+    both = read_predictions(spark, generation, live)
+    assert both.count() == 42
+    assert both.filter("rev_id = '1003'").first().comment == "late"
+
+
 def test_repeats_are_dropped_within_the_watermark(spark, landing, tmp_path):
     (tmp_path / "landing" / "batch_9.jsonl").write_text(json.dumps(event(3)) + "\n")
-    paths = run(spark, landing, tmp_path, dedup_delay="30 days")
+    paths = run(spark, landing, tmp_path, dedup_delay="30 days", state_partitions=2)
     assert spark.read.parquet(paths.predictions).count() == 41
 
 
