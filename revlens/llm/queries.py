@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.llm.bpe import round_trip
 from revlens.llm.common import read
 from revlens.llm.simhash import near_duplicates
 from revlens.plans.registry import Query
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again: token count and digests of ids and bytes."""
+    return round_trip(
+        read(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, at most 4 differing bits."""
     return near_duplicates(read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4).select(
@@ -18,5 +29,6 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bpe": Query(op1_bpe, None),
     "op4_simhash": Query(op4_simhash, None),
 }
