@@ -37,6 +37,15 @@ def fold(doc_id: Column | str) -> Column:
     return F.pmod(F.crc32(F.coalesce(text.cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
+def spare_name(df: DataFrame, base: str) -> str:
+    """A column name ``df`` does not have, however its own are spelled."""
+    taken = {c.lower() for c in df.columns}
+    name = base
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Memo(dict, Generic[K, V]):
     """A bounded memory of ``make(key)``: keys in recent use stay, all others are made anew when needed.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from revlens.llm.bpe import round_trip
 from revlens.llm.common import read
+from revlens.llm.linededup import line_report
 from revlens.llm.simhash import near_duplicates
 from revlens.plans.registry import Query
 
@@ -21,6 +22,41 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that its source repeats on over 1 % of its documents, and what is left."""
+    return line_report(read(spark, sf_dir, "documents"), "doc_id", "source", "text", ratio=0.01, min_pages=5)
+
+
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text FROM documents),
+lines AS (
+    SELECT r, source, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(len(string_split(text, chr(10))))) AS pos FROM d
+),
+on_pages AS (
+    SELECT source, trim(line, ' ') AS bare, count(DISTINCT r) AS n FROM lines
+    WHERE trim(line, ' ') <> '' GROUP BY ALL
+),
+sites AS (SELECT source, count(*) AS total FROM documents GROUP BY ALL),
+boilerplate AS (
+    SELECT o.source, o.bare FROM on_pages o JOIN sites s ON o.source IS NOT DISTINCT FROM s.source
+    WHERE o.n >= 5 AND CAST(o.n AS DOUBLE) / s.total > 0.01
+),
+marked AS (
+    SELECT l.r, l.pos, l.line, b.bare IS NOT NULL AS dropped FROM lines l
+    LEFT JOIN boilerplate b ON l.source IS NOT DISTINCT FROM b.source AND trim(l.line, ' ') = b.bare
+),
+kept AS (
+    SELECT r, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+           md5(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_md5
+    FROM marked GROUP BY r
+)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, kept_md5
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 4-word shingles, at most 4 differing bits."""
     return near_duplicates(read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4).select(
@@ -30,5 +66,6 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": Query(op1_bpe, None),
+    "op3_line_dedup": Query(op3_line_dedup, OP3_SQL),
     "op4_simhash": Query(op4_simhash, None),
 }
