@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from revlens.llm.bpe import round_trip
 from revlens.llm.common import read
+from revlens.llm.embdedup import near_vectors
 from revlens.llm.linededup import line_report
 from revlens.llm.simhash import near_duplicates
+from revlens.llm.topk import nearest
 from revlens.plans.registry import Query
 
 
@@ -64,8 +66,67 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer products for every vector whose id is divisible by 50."""
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
+    )
+
+
+OP5_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.w, d.w) AS BIGINT) AS score
+    FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and verdict of every vector at a cosine of 0.9 or more."""
+    return near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS w FROM embeddings
+),
+usable AS (
+    SELECT vec_id, w, sqrt(list_inner_product(w, w)) AS size FROM v
+    WHERE vec_id IS NOT NULL AND w IS NOT NULL AND len(list_filter(w, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(w, lambda x: x <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND list_inner_product(a.w, b.w) / (a.size * b.size) >= 0.9
+),
+reached AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+),
+components AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+       coalesce(e.vec_id = component_id, false) AS kept
+FROM embeddings e LEFT JOIN components USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": Query(op1_bpe, None),
     "op3_line_dedup": Query(op3_line_dedup, OP3_SQL),
     "op4_simhash": Query(op4_simhash, None),
+    "op5_topk": Query(op5_topk, OP5_SQL),
+    "op8_embedding_dedup": Query(op8_embedding_dedup, OP8_SQL),
 }

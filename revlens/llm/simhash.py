@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-class _Forest:
+class Forest:
     """Disjoint sets over positions 0..n-1; unites whole arrays of links."""
 
     def __init__(self, n: int):
@@ -97,7 +97,7 @@ class _Forest:
         return self.parent
 
 
-def _traverse(fps: np.ndarray, pairs: np.ndarray, max_bits: int, forest: _Forest) -> None:
+def _traverse(fps: np.ndarray, pairs: np.ndarray, max_bits: int, forest: Forest) -> None:
     """Traverse node pairs of the trie over ``fps`` together and unite all fingerprints that link.
 
     ``fps`` is sorted within every node, so a node is a range of positions. A row of ``pairs`` is
@@ -268,7 +268,7 @@ def _joined(rows: pd.DataFrame, max_bits: int) -> pd.DataFrame:
         ),
         axis=1,
     ).astype(np.int64)
-    forest = _Forest(len(rows))
+    forest = Forest(len(rows))
     _traverse(fps, pairs, max_bits, forest)
     roots = forest.roots()
     hangs = np.flatnonzero(roots != np.arange(len(rows)))
