@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterable
 from typing import Generic, TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,9 +53,12 @@ class Memo(dict, Generic[K, V]):
     younger one, so it can be mapped over long lists.
     """
 
-    def __init__(self, make: Callable[[K], V], limit: int = 150_000):
+    def __init__(
+        self, make: Callable[[K], V], limit: int = 150_000, make_many: Callable[[list[K]], list[V]] | None = None
+    ):
         super().__init__()
         self._make = make
+        self._make_many = make_many
         self._limit = limit
         self._old: dict[K, V] = {}
 
@@ -68,3 +71,23 @@ class Memo(dict, Generic[K, V]):
             self.clear()
         self[key] = value
         return value
+
+    def many(self, keys: Iterable[K]) -> list[V]:
+        """The values of all keys; what is missing is made in one call where ``make_many`` is given."""
+        if self._make_many is None:
+            return list(map(self.__getitem__, keys))
+        keys = list(keys)
+        found = [self.get(k) for k in keys]
+        missing = [i for i, v in enumerate(found) if v is None]
+        unknown = [i for i in missing if keys[i] not in self._old]
+        made = dict(zip((keys[i] for i in unknown), self._make_many([keys[i] for i in unknown])))
+        if len(self) + len(missing) > self._limit:
+            older, self._old = self._old, dict(self)
+            self.clear()
+        else:
+            older = self._old
+        for i in missing:
+            key = keys[i]
+            value = made.get(key)
+            found[i] = self[key] = older[key] if value is None else value
+        return found

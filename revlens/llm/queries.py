@@ -10,6 +10,7 @@ from revlens.llm.bpe import round_trip
 from revlens.llm.common import read
 from revlens.llm.embdedup import near_vectors
 from revlens.llm.linededup import line_report
+from revlens.llm.packing import pack
 from revlens.llm.simhash import near_duplicates
 from revlens.llm.topk import nearest
 from revlens.plans.registry import Query
@@ -92,6 +93,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens, sources mixed by their share of all tokens."""
+    return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1)
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and verdict of every vector at a cosine of 0.9 or more."""
     return near_vectors(read(spark, sf_dir, "embeddings"), cosine=0.9)
@@ -128,5 +134,6 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": Query(op3_line_dedup, OP3_SQL),
     "op4_simhash": Query(op4_simhash, None),
     "op5_topk": Query(op5_topk, OP5_SQL),
+    "op7_packing": Query(op7_packing, None),
     "op8_embedding_dedup": Query(op8_embedding_dedup, OP8_SQL),
 }

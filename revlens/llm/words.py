@@ -84,7 +84,7 @@ def encoded(
         words = split.flatten().dictionary_encode()
         codes = words.indices.to_numpy().astype(np.int64)
         known = words.dictionary.to_numpy(zero_copy_only=False)
-        values = list(map(after_space.__getitem__, known))
+        values = after_space.many(known)
         first, inverse = np.unique(codes[offsets[:-1]], return_inverse=True)
         codes[offsets[:-1]] = len(values) + inverse
         values += [plain(known[c]) for c in first]
