@@ -13,6 +13,7 @@ from revlens.llm.linededup import line_report
 from revlens.llm.packing import pack
 from revlens.llm.simhash import near_duplicates
 from revlens.llm.topk import nearest
+from revlens.llm import toxicity
 from revlens.plans.registry import Query
 
 
@@ -25,6 +26,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document that its source repeats on over 1 % of its documents, and what is left."""
     return line_report(read(spark, sf_dir, "documents"), "doc_id", "source", "text", ratio=0.01, min_pages=5)
@@ -131,6 +138,7 @@ FROM embeddings e LEFT JOIN components USING (vec_id) LEFT JOIN counts USING (ve
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": Query(op1_bpe, None),
+    "op2_toxicity": Query(op2_toxicity, None),
     "op3_line_dedup": Query(op3_line_dedup, OP3_SQL),
     "op4_simhash": Query(op4_simhash, None),
     "op5_topk": Query(op5_topk, OP5_SQL),
