@@ -13,7 +13,7 @@ from revlens.llm.linededup import line_report
 from revlens.llm.packing import pack
 from revlens.llm.simhash import near_duplicates
 from revlens.llm.topk import nearest
-from revlens.llm import toxicity
+from revlens.llm import secrets, toxicity
 from revlens.plans.registry import Query
 
 
@@ -136,6 +136,20 @@ FROM embeddings e LEFT JOIN components USING (vec_id) LEFT JOIN counts USING (ve
 """
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in every document, with the forest's score and verdict."""
+    docs = read(spark, sf_dir, "documents")
+    model, dictionary = secrets.fit(docs)
+    return secrets.scan(docs, model, dictionary, ["doc_id"], "text", "source").select(
+        F.col("k_doc_id").alias("doc_id"),
+        "start",
+        F.length("run").cast("long").alias("length"),
+        F.sha2("run", 256).alias("sha256"),
+        "score",
+        "is_secret",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": Query(op1_bpe, None),
     "op2_toxicity": Query(op2_toxicity, None),
@@ -144,4 +158,5 @@ QUERIES: dict[str, Query] = {
     "op5_topk": Query(op5_topk, OP5_SQL),
     "op7_packing": Query(op7_packing, None),
     "op8_embedding_dedup": Query(op8_embedding_dedup, OP8_SQL),
+    "op10_secrets": Query(op10_secrets, None),
 }
