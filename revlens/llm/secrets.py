@@ -47,7 +47,7 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
     run, before, behind = F.col("run"), F.col("before"), F.col("behind")
     near = F.lower(F.concat_ws(" ", F.col("prev"), before))
     words = F.regexp_extract_all(F.lower(run), F.lit("[a-z]+"), 0)
-    known = F.array(*[F.lit(w) for w in dictionary]) if dictionary else F.array().cast("array<string>")
+    known = F.split(F.lit(" ".join(dictionary)), " ")  # one literal, however many words
     covered = F.aggregate(
         F.filter(words, lambda w: F.array_contains(known, w)), F.lit(0), lambda n, w: n + F.length(w)
     ) / F.length(run)
@@ -96,7 +96,7 @@ def dictionary_of(docs: DataFrame, text_col: str = "text") -> list[str]:
 def labelled_findings(spark: SparkSession, dictionary: list[str]) -> DataFrame:
     """Findings with labels (1: secret) made by known rules: what secrets look like in use, and what
     else looks like them. Random parts are digests of the row number, words are the corpus' own."""
-    words = F.array(*[F.lit(w) for w in dictionary or ["the", "and", "value", "line"]])
+    words = F.split(F.lit(" ".join(dictionary or ["the", "and", "value", "line"])), " ")
 
     def word(n: int) -> Column:
         return F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(n)), F.size(words)) + 1).cast("int"))
