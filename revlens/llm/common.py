@@ -37,6 +37,39 @@ def fold(doc_id: Column | str) -> Column:
     return F.pmod(F.crc32(F.coalesce(text.cast("string"), F.lit("")).cast("binary")), F.lit(5))
 
 
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int,
+    split_from: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "label",
+) -> DataFrame:
+    """``id``, ``text``, ``label``, ``half`` of labelled rows that are not held out, written aside.
+
+    If there are more than ``rows``, a hash of the id thins them to about that many; a fit's cost is
+    bounded thus. ``half`` is 0 or 1, or -1 for all where there are fewer than ``split_from``. Labels
+    other than 0 and 1, and NULL ids, are no labels; of several labels of an id the largest counts.
+    """
+    marks = (
+        labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
+        .where("id is not null and label in (0, 1)")
+        .where(fold("id") != 0)
+        .groupBy("id")
+        .agg(F.max("label").alias("label"))
+    )
+    marks = staged(marks, "fit-labels")
+    total = marks.count()
+    if total > rows:
+        share = int(rows / total * 1_000_000)
+        marks = marks.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < share)
+    named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    named = named.join(F.broadcast(marks), "id")  # about ``rows`` rows of two numbers
+    half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) if total >= split_from else F.lit(-1)
+    return staged(named.withColumn("half", half.cast("int")), "fit-texts")
+
+
 def spare_name(df: DataFrame, base: str) -> str:
     """A column name ``df`` does not have, however its own are spelled."""
     taken = {c.lower() for c in df.columns}

@@ -13,7 +13,7 @@ from revlens.llm.linededup import line_report
 from revlens.llm.packing import pack
 from revlens.llm.simhash import near_duplicates
 from revlens.llm.topk import nearest
-from revlens.llm import secrets, toxicity
+from revlens.llm import quality, secrets, toxicity
 from revlens.plans.registry import Query
 
 
@@ -136,6 +136,12 @@ FROM embeddings e LEFT JOIN components USING (vec_id) LEFT JOIN counts USING (ve
 """
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labelled rows that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.scores(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate for a secret in every document, with the forest's score and verdict."""
     docs = read(spark, sf_dir, "documents")
@@ -158,5 +164,6 @@ QUERIES: dict[str, Query] = {
     "op5_topk": Query(op5_topk, OP5_SQL),
     "op7_packing": Query(op7_packing, None),
     "op8_embedding_dedup": Query(op8_embedding_dedup, OP8_SQL),
+    "op9_quality": Query(op9_quality, None),
     "op10_secrets": Query(op10_secrets, None),
 }
