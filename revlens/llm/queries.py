@@ -6,14 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revlens.llm import quality, secrets, toxicity
 from revlens.llm.bpe import round_trip
+from revlens.llm.chat import exchange_events, format_events
 from revlens.llm.common import read
 from revlens.llm.embdedup import near_vectors
 from revlens.llm.linededup import line_report
 from revlens.llm.packing import pack
 from revlens.llm.simhash import near_duplicates
 from revlens.llm.topk import nearest
-from revlens.llm import quality, secrets, toxicity
 from revlens.plans.registry import Query
 
 
@@ -100,6 +101,38 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+REPLY = {"prompt": {"type": "string", "required": True, "min_length": 1}, "turn": {"type": "integer", "required": True, "min": 0}}
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation as a linked, ordered, checked event in canonical JSON."""
+    events = exchange_events(read(spark, sf_dir, "conversations"))
+    return format_events(events, {"reply": REPLY}).select(
+        F.col("conv").cast("long").alias("conv_id"), "turn", "kind", "call_id", "linked", "valid", "place_turn", "rank", "json"
+    )
+
+
+OP6_SQL = """
+WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+e AS (
+    SELECT t.*, u.turn IS NOT NULL AND t.role = 'assistant' AS result, a.turn IS NOT NULL AS answered
+    FROM t LEFT JOIN t u ON u.conv_id = t.conv_id AND u.turn = t.turn - 1 AND u.role = 'user'
+    LEFT JOIN t a ON a.conv_id = t.conv_id AND a.turn = t.turn + 1 AND a.role = 'assistant'
+)
+SELECT conv_id, turn,
+       CASE WHEN role = 'user' THEN 'call' WHEN result THEN 'result' ELSE 'message' END AS kind,
+       CASE WHEN role = 'user' THEN conv_id || ':' || turn WHEN result THEN conv_id || ':' || (turn - 1) END AS call_id,
+       (role = 'user' AND answered) OR result AS linked,
+       role <> 'user' OR length(text) > 0 AS valid,
+       CASE WHEN result THEN turn - 1 ELSE turn END AS place_turn,
+       CAST(CASE WHEN result THEN 1 ELSE 0 END AS INTEGER) AS rank,
+       CASE WHEN role = 'user' THEN '{"arguments":{"prompt":' || to_json(text) || ',"turn":' || turn || '},"id":"' || conv_id || ':' || turn || '","name":"reply","type":"call"}'
+            WHEN result THEN '{"content":{"content":' || to_json(text) || '},"id":"' || conv_id || ':' || (turn - 1) || '","type":"result"}'
+            ELSE '{"content":{"content":' || to_json(text) || '},"role":' || to_json(role) || ',"type":"message"}' END AS json
+FROM e
+"""
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens, sources mixed by their share of all tokens."""
     return pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), length=2048, end_id=1)
@@ -162,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": Query(op3_line_dedup, OP3_SQL),
     "op4_simhash": Query(op4_simhash, None),
     "op5_topk": Query(op5_topk, OP5_SQL),
+    "op6_chat": Query(op6_chat, OP6_SQL),
     "op7_packing": Query(op7_packing, None),
     "op8_embedding_dedup": Query(op8_embedding_dedup, OP8_SQL),
     "op9_quality": Query(op9_quality, None),
