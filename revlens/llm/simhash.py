@@ -8,10 +8,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revlens.llm.common import staged
+from revlens.llm.common import send_if_small, spare_name, staged
 from revlens.llm.components import connected_components
 
 BITS = 64
@@ -311,3 +311,41 @@ def near_duplicates(
     return rows.join(labelled, "fp", "left").select(
         "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id")
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words_per_shingle: int = 4,
+    max_bits: int = 4,
+) -> DataFrame:
+    """The rows of ``docs`` without near copies: of every component the row of its smallest id stays.
+
+    All columns come back as they are. Rows with a NULL id stay. Of several rows with the id that
+    stays, the one with the smallest text does. What goes is a table of ids, joined by its counted
+    size: broadcast while small, else by a shuffle that hashes the ids and does not sort the texts.
+    """
+    found = staged(
+        near_duplicates(docs, id_col, text_col, words_per_shingle, max_bits)
+        .where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("component_id").alias("component_id")),
+        "near-duplicates",
+    )
+    key = spare_name(docs, "gone")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(key))
+    many = found.where("doc_id = component_id and n > 1").select(F.col("doc_id").alias(key))
+    n_gone, n_many = gone.count(), many.count()
+
+    def against(ids: DataFrame, count: int, how: str) -> DataFrame:
+        small = send_if_small(ids, count, 16)
+        ids = small if small is not ids else ids.hint("shuffle_hash")
+        return docs.join(ids, docs[id_col] == ids[key], how)
+
+    if not n_many:
+        return against(gone, n_gone, "left_anti")
+    order = Window.partitionBy(id_col).orderBy(text_col)
+    place = spare_name(docs, "place")
+    first = against(many, n_many, "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).drop(place)
+    return against(gone.unionAll(many), n_gone + n_many, "left_anti").unionAll(first)
