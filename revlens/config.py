@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -34,6 +34,7 @@ class TrainConfig:
     train_percent: int = 80
     min_rows: int = 1000
     parallelism: int = 3
+    share_fits: bool = True
 
 
 # weak-label path and observed-revert path differ in these settings (fixed values)
@@ -52,7 +53,7 @@ class JobConfig:
     placeholder_parent: bool = False
     row_cap: int | None = None
     bands: RiskBands = SHIPPED_BANDS
-    train: TrainConfig = field(default_factory=TrainConfig)
+    train: TrainConfig | None = None  # the job's own settings: WEAK or HISTORY
 
     def path(self, name: str) -> str:
         return f"{self.work_dir.rstrip('/')}/{name}"

@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revlens.config import SHIPPED_BANDS, RiskBands
-from revlens.functions.risk import pass_through_score, positive_probability
+from revlens.functions.risk import pass_through_score, positive_probability, risk_band
 from revlens.operators.features import prediction_features
-from revlens.operators.tables import update_scores
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +42,15 @@ def score(features: DataFrame, model: PipelineModel | None, key: Column | None =
 def rescore(
     predictions: DataFrame, model: PipelineModel, bands: RiskBands = SHIPPED_BANDS
 ) -> DataFrame:
-    """The predictions table with fresh scores and bands."""
-    scores = score(prediction_features(predictions), model).select("id", "risk_score")
-    return update_scores(predictions, scores, bands)
+    """The predictions table with fresh scores and bands, in one pass over it: the rows carry their
+    columns through the model, so nothing is joined back and repeated ids stay as many as they are."""
+    names = predictions.columns
+    own = [F.col(c).alias(f"own_{c}") for c in names]
+    inputs = prediction_features(predictions, own)
+    scored = score(inputs, model)
+    replaced = {
+        "risk_score": F.col("risk_score"),
+        "risk_label": risk_band(F.col("risk_score"), bands),
+        "scored": F.lit(1),
+    }
+    return scored.select(*[replaced.get(c, F.col(f"own_{c}")).alias(c) for c in names])

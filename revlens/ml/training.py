@@ -5,8 +5,9 @@ grid point, with less work:
 
 * tokens and hashed counts have no state, so they are computed once and written;
 * IDF and scaling do not depend on the grid, so they are fitted once per fold, on its training rows;
-* points that differ only in the iteration limit share one fit when the optimizer stopped by itself
-  before the lower limit, as the larger limit then leads to the same coefficients.
+* with ``share_fits``, points that differ only in the iteration limit share one fit when the
+  optimizer stopped by itself before the lower limit, as the larger limit then leads to the same
+  coefficients. ``TrainResult.fits`` says how many were made.
 """
 
 from __future__ import annotations
@@ -53,18 +54,10 @@ def hashed_rows(df: DataFrame, key: str, cfg: TrainConfig) -> tuple[DataFrame, P
     return hashed.select(*columns), stages
 
 
-ROWS_PER_TASK = 250_000
-
 # what the metrics read of a scored row; written once, as several of them make a pass each
 SCORED = ("raw_prediction", "probability", "prediction")
 
 
-def _packed(df: DataFrame, rows: int) -> DataFrame:
-    """Fewer tasks for a small training set: every optimizer step is a job, and below this many rows
-    per task its start-up outweighs the sums it makes. Larger sets keep their partitions."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
-
-
 def _auc() -> BinaryClassificationEvaluator:
     return BinaryClassificationEvaluator(
         labelCol="label", rawPredictionCol="raw_prediction", metricName="areaUnderROC"
@@ -72,7 +65,7 @@ def _auc() -> BinaryClassificationEvaluator:
 
 
 def _fit_limits(
-    estimator: LogisticRegression, train: DataFrame, reg: float, limits: tuple[int, ...]
+    estimator: LogisticRegression, train: DataFrame, reg: float, limits: tuple[int, ...], share: bool
 ) -> dict[int, LogisticRegressionModel]:
     """Models per iteration limit, lowest limit first."""
     models: dict[int, LogisticRegressionModel] = {}
@@ -81,7 +74,7 @@ def _fit_limits(
         if done is None:
             settings = {estimator.regParam: reg, estimator.maxIter: limit}
             model = estimator.fit(train, settings)
-            if model.summary.totalIterations < limit:
+            if share and model.summary.totalIterations < limit:
                 done = model
         else:
             model = done
@@ -90,7 +83,7 @@ def _fit_limits(
 
 
 def cross_validate(
-    hashed: DataFrame, cfg: TrainConfig, rows: int, fold: str = "fold"
+    hashed: DataFrame, cfg: TrainConfig, fold: str = "fold"
 ) -> tuple[dict[tuple[float, int], float], int]:
     """Mean AUC per (regParam, maxIter) over the folds, and the number of fits made."""
     sums: dict[tuple[float, int], float] = defaultdict(float)
@@ -99,14 +92,12 @@ def cross_validate(
         train, held = hashed.filter(F.col(fold) != i), hashed.filter(F.col(fold) == i)
         features = Pipeline(stages=fitted_stages(cfg)).fit(train)
         train, held = (
-            _packed(features.transform(part).select("label", "features"), rows).persist(
-                StorageLevel.MEMORY_AND_DISK
-            )
+            features.transform(part).select("label", "features").persist(StorageLevel.MEMORY_AND_DISK)
             for part in (train, held)
         )
 
         def score(reg: float, train=train, held=held) -> tuple[int, dict[tuple[float, int], float]]:
-            models = _fit_limits(classifier(cfg), train, reg, cfg.grid_iter)
+            models = _fit_limits(classifier(cfg), train, reg, cfg.grid_iter, cfg.share_fits)
             by_model = {id(m): _auc().evaluate(m.transform(held)) for m in models.values()}
             return len(by_model), {(reg, k): by_model[id(m)] for k, m in models.items()}
 
@@ -125,20 +116,20 @@ def best_point(scores: dict[tuple[float, int], float]) -> tuple[float, int]:
     return max(scores, key=lambda point: (scores[point], -point[0], -point[1]))
 
 
-def fit_final(
-    hashed: DataFrame, text: PipelineModel, cfg: TrainConfig, rows: int | None = None
-) -> PipelineModel:
+def fit_final(hashed: DataFrame, text: PipelineModel, cfg: TrainConfig) -> PipelineModel:
     """Scoring model over cleaned texts: stateless stages, fitted stages, classifier."""
-    rows = hashed.count() if rows is None else rows
     features = Pipeline(stages=fitted_stages(cfg)).fit(hashed)
-    model = classifier(cfg).fit(
-        _packed(features.transform(hashed).select("label", "features"), rows)
-    )
+    model = classifier(cfg).fit(features.transform(hashed).select("label", "features"))
     return PipelineModel(stages=[*text.stages, *features.stages, model])
 
 
-def train(labeled: DataFrame, key: str, cfg: TrainConfig) -> TrainResult:
-    """Guard, split, search, refit on all training rows, evaluate on the held-out part."""
+def train(
+    labeled: DataFrame, key: str, cfg: TrainConfig, scored_path: str | None = None
+) -> TrainResult:
+    """Guard, split, search, refit on all training rows, evaluate on the held-out part.
+
+    The held-out part's scores are written to ``scored_path``, else to the scratch folder.
+    """
     total = require_rows(labeled, cfg.min_rows)
     parts = with_split(labeled, key, cfg.train_percent)
     test = parts.filter(F.col("split") == "test")
@@ -147,13 +138,18 @@ def train(labeled: DataFrame, key: str, cfg: TrainConfig) -> TrainResult:
 
     n_train = hashed.count()
     start = time.monotonic()
-    scores, fits = cross_validate(hashed, cfg, n_train)
+    scores, fits = cross_validate(hashed, cfg)
     reg, limit = best_point(scores)
     chosen = replace(cfg, reg_param=reg, max_iter=limit)
-    model = fit_final(hashed, text, chosen, n_train)
+    model = fit_final(hashed, text, chosen)
     seconds = time.monotonic() - start
     columns = [key, F.col("label").cast("double").alias("label"), *SCORED]
-    scored = stage_table(model.transform(test).select(*columns), "test-scores")
+    scored = model.transform(test).select(*columns)
+    if scored_path is None:
+        scored = stage_table(scored, "test-scores")
+    else:
+        scored.write.mode("overwrite").parquet(scored_path)
+        scored = labeled.sparkSession.read.schema(scored.schema).parquet(scored_path)
     metrics = evaluate(scored) | {"training_time_seconds": round(seconds, 1)}
     return TrainResult(
         model=model,

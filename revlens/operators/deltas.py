@@ -56,36 +56,40 @@ def with_previous(
 ) -> DataFrame:
     """``lag(value)`` per page in the order of a unique integer id.
 
+    Rows without a page have no previous row; each gets a page of its own, so they spread.
     One page may hold a large part of all rows. Pages of more than ``hot_rows`` rows are cut into
     ranges of ``hot_rows`` ids: ids are unique, so that bounds every window group. Only the first row
     of a range needs the last value of the page's previous non-empty range, which comes from one row
     per range. At most rows / ``hot_rows`` pages can be that large, which bounds the broadcast; without
     any, the later join is against nothing and AQE drops it.
     """
+    alone = F.concat(F.lit("no page:"), F.col(order).cast("string"))
+    known = F.concat(F.lit("page:"), F.col(page).cast("string"))
+    df = df.withColumn("_page", F.coalesce(known, alone))
     hot = (
-        df.groupBy(page)
+        df.groupBy("_page")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > hot_rows) & F.col(page).isNotNull())
-        .select(page, F.lit(True).alias("_hot"))
+        .filter(F.col("_n") > hot_rows)
+        .select("_page", F.lit(True).alias("_hot"))
     )
     cut = F.when(F.col("_hot"), F.expr(f"`{order}` div {hot_rows}")).otherwise(F.lit(0))
-    marked = df.join(F.broadcast(hot), page, "left")
+    marked = df.join(F.broadcast(hot), "_page", "left")
     ranged = marked.withColumn("_range", cut.cast("bigint"))
     last = (
         ranged.filter(F.col("_hot"))
-        .groupBy(page, "_range")
+        .groupBy("_page", "_range")
         .agg(F.max_by(value, order).alias("_last"))
     )
     carried = last.select(
-        page, "_range", F.lag("_last").over(W.partitionBy(page).orderBy("_range")).alias("_carried")
+        "_page", "_range", F.lag("_last").over(W.partitionBy("_page").orderBy("_range")).alias("_carried")
     )
-    local = W.partitionBy(page, "_range").orderBy(order)
+    local = W.partitionBy("_page", "_range").orderBy(order)
     return (
         ranged.withColumn("_first", F.row_number().over(local) == 1)
         .withColumn("_local", F.lag(value).over(local))
-        .join(carried, [page, "_range"], "left")
+        .join(carried, ["_page", "_range"], "left")
         .withColumn(output, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_local")))
-        .drop("_hot", "_range", "_first", "_local", "_carried")
+        .drop("_page", "_hot", "_range", "_first", "_local", "_carried")
     )
 
 

@@ -208,8 +208,8 @@ def scored_predictions(
     )
 
 
-def prediction_features(predictions: DataFrame) -> DataFrame:
-    """Model inputs of stored predictions, for scoring them again."""
+def prediction_features(predictions: DataFrame, more: list[Column] | None = None) -> DataFrame:
+    """Model inputs of stored predictions, for scoring them again, and columns to carry along."""
     time = times.iso_time(F.col("timestamp"))
     return fill_features(
         predictions.select(
@@ -220,5 +220,6 @@ def prediction_features(predictions: DataFrame) -> DataFrame:
             F.col("is_anon").cast("int").alias("is_anon_int"),
             F.hour(time).alias("hour_of_day"),
             F.dayofweek(time).alias("day_of_week"),
+            *(more or []),
         )
     )

@@ -5,19 +5,18 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlens.functions import times
 from revlens.functions.numbers import fixed, percent, round_exact
 from revlens.functions.text import missing
+from revlens.session import stage_table
 
 SEARCHED = ("page_title", "comment", "user", "rev_id")
 MAX_PAGE_SIZE = 200
 MAX_SEARCH = 120
 
-# rows a page may skip by sorting alone; deeper pages narrow the time range first
-SORTED_SKIP = 10_000
-
 
 def feed_filter(
     predictions: DataFrame,
@@ -70,47 +69,53 @@ def _newest_first(df: DataFrame) -> DataFrame:
 
 
 def feed_page(matching: DataFrame, page: int = 1, page_size: int = 50) -> DataFrame:
-    """One page, newest first, ties broken by id.
+    """One page, newest first, rows without a stamp last, ties broken by id.
 
-    Near pages are a top-k per task. A deep page would bring every skipped row to one task, so it
-    first narrows the table to the stretch of time that holds the page, by counts per day, hour,
-    minute, second and stamp.
+    The same way at any depth. Only the sort keys are dealt out by range, so a task holds a stretch of
+    the order even where all rows share one stamp, and written. Counts per stretch say which ones the
+    page lies in; the rows of those are numbered, and the page's keys (no more than its rows) fetch the
+    rows themselves. Nothing is skipped row by row. ``feed_after`` is the cheaper way to walk on.
     """
     if page < 1 or not 1 <= page_size <= MAX_PAGE_SIZE:
         raise ValueError("page must be >= 1 and page_size between 1 and 200")
     skip = (page - 1) * page_size
-    for stamp_length in (10, 13, 16, 19, 26):
-        if skip <= SORTED_SKIP:
-            break
-        matching, skip = _narrow(matching, skip, page_size, stamp_length)
-    return _newest_first(matching).offset(skip).limit(page_size)
-
-
-def _narrow(df: DataFrame, skip: int, size: int, stamp_length: int) -> tuple[DataFrame, int]:
-    """Keeps the stamp prefixes that overlap rows [skip, skip + size) and the rows left to skip.
-
-    The previous level bounds the number of prefixes: days in the table, 24 hours, 60 minutes, 60
-    seconds, a million microseconds, each per prefix already chosen.
-    """
-    from pyspark.sql import Window as W
-
-    prefix = F.substring("created_at", 1, stamp_length)
-    counts = df.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    upto = counts.withColumn("upto", F.sum("n").over(W.orderBy(F.desc("p"))))
-    hit = upto.filter((F.col("upto") > skip) & (F.col("upto") - F.col("n") < skip + size)).agg(
-        F.min("p"), F.max("p"), F.min(F.col("upto") - F.col("n"))
+    order = [F.desc_nulls_last("created_at"), F.desc_nulls_last("id")]
+    keys = matching.groupBy("created_at", "id").agg(F.count(F.lit(1)).alias("_n"))
+    keys = stage_table(
+        keys.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "feed-keys"
     )
-    low, high, before = hit.first()
-    if low is None:
-        return df.limit(0), 0
-    return df.filter(prefix.between(low, high)), skip - before
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    stretches = keys.groupBy("_part").agg(F.sum("_n").alias("_rows"))  # one row per task
+    stretches = stretches.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    holding = stretches.filter(
+        (F.col("_before") < skip + page_size) & (F.col("_before") + F.col("_rows") > skip)
+    )
+    upto = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    chosen = (
+        keys.join(F.broadcast(holding), "_part")
+        .withColumn("_at", F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0)))
+        .filter((F.col("_at") < skip + page_size) & (F.col("_at") + F.col("_n") > skip))
+        .select(F.col("created_at").alias("_c"), F.col("id").alias("_i"), "_at")
+    )
+    repeat = F.row_number().over(W.partitionBy("created_at", "id").orderBy(F.lit(1)))
+    same = F.col("created_at").eqNullSafe(F.col("_c")) & F.col("id").eqNullSafe(F.col("_i"))
+    rows = matching.join(F.broadcast(chosen), same).withColumn("_at", F.col("_at") + repeat - 1)
+    rows = rows.filter(F.col("_at").between(skip, skip + page_size - 1))
+    return rows.orderBy("_at").select(*matching.columns)
 
 
-def feed_after(matching: DataFrame, created_at: str, id: str, page_size: int = 50) -> DataFrame:
-    """The page after a given row: cost does not grow with depth."""
-    older = (F.col("created_at") < created_at) | (
-        (F.col("created_at") == created_at) & (F.col("id") < id)
-    )
+def feed_after(
+    matching: DataFrame, created_at: str | None, id: str, page_size: int = 50
+) -> DataFrame:
+    """The page after a given row: cost does not grow with depth. Rows without a stamp come last."""
+    if created_at is None:
+        older = F.col("created_at").isNull() & (F.col("id") < id)
+    else:
+        older = (
+            (F.col("created_at") < created_at)
+            | ((F.col("created_at") == created_at) & (F.col("id") < id))
+            | F.col("created_at").isNull()
+        )
     return _newest_first(matching.filter(older)).limit(page_size)
 
 
@@ -140,8 +145,17 @@ def first_scored(predictions: DataFrame, limit: int = 100) -> DataFrame:
 
 # columns a record cannot be without; score and band may be NULL
 REQUIRED = (
-    "id rev_id page_title namespace user comment length_delta timestamp wiki created_at"
-).split()
+    "id",
+    "rev_id",
+    "page_title",
+    "namespace",
+    "user",
+    "comment",
+    "length_delta",
+    "timestamp",
+    "wiki",
+    "created_at",
+)
 
 
 def _complete() -> Column:

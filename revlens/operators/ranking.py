@@ -1,44 +1,32 @@
 """Exact ranking metrics over any number of scores.
 
 A running total over all scores in one window would run in one task. Scores are first counted per
-distinct value (pre-aggregated, so a score shared by very many rows is one row), then cut into
-ranges at fixed quantile bounds; totals of the ranges before are added to the running total within
-a range. The range totals have at most ``ranges`` rows.
+distinct value (pre-aggregated, so a score shared by very many rows is one row), then dealt out by
+range; totals of the ranges before, one row per task, are added to the running total within a range.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from revlens.session import stage_table
 
-RANGES = 512
-
-
 def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return df.groupBy(F.col(score).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score; NULL and NaN are the score NULL."""
+    value = F.col(score).cast("double")
+    return df.groupBy(F.when(~F.isnan(value), value).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
     )
 
 
-def _ranged(counts: DataFrame, ranges: int) -> DataFrame:
-    probs = [i / ranges for i in range(1, ranges)]
-    bounds = counts.agg(F.percentile_approx("score", probs, 10 * ranges)).first()[0] or []
-    if not bounds:
-        return counts.withColumn("range", F.lit(0.0))
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
-    return Bucketizer(splits=splits, inputCol="score", outputCol="range").transform(counts)
-
-
-def running_counts(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
+def running_counts(counts: DataFrame) -> DataFrame:
     """Adds ``tp`` and ``fp``: positives and negatives with this score or a higher one."""
-    ranged = _ranged(counts, ranges)
-    higher = W.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
+    ranged = counts.repartitionByRange(F.desc("score")).withColumn("range", F.spark_partition_id())
+    ranged = stage_table(ranged, "score-ranges")
+    higher = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     before = (
         ranged.groupBy("range")
         .agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
@@ -52,22 +40,27 @@ def running_counts(counts: DataFrame, ranges: int = RANGES) -> DataFrame:
     return (
         ranged.withColumn("tp", F.sum("pos").over(local))
         .withColumn("fp", F.sum("neg").over(local))
-        .join(F.broadcast(before), "range")  # one row per range
+        .join(F.broadcast(before), "range")  # one row per task
         .withColumn("tp", F.col("tp") + F.col("p0"))
         .withColumn("fp", F.col("fp") + F.col("n0"))
         .drop("range", "p0", "n0")
     )
 
 
-def ranking_metrics(df: DataFrame, score: str, label: str, ranges: int = RANGES) -> DataFrame:
+def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     """Areas under the ROC curve and the precision-recall curve.
 
     Ties count half in the ROC area. The precision-recall curve is joined by straight lines and
-    starts at recall 0 with the precision of its first point.
+    starts at recall 0 with the precision of its first point. Rows whose score is NULL or NaN have no
+    place on a curve; ``unscored`` counts those with a label, the other numbers leave them out.
     """
-    # three readers follow: the scores, often a model's output, are computed once
-    counts = stage_table(score_counts(df, score, label), "score-counts")
-    curve = running_counts(counts, ranges)
+    # several readers follow: the scores, often a model's output, are computed once
+    all_counts = stage_table(score_counts(df, score, label), "score-counts")
+    counts = all_counts.filter("score is not null")
+    unscored = all_counts.agg(
+        F.coalesce(F.sum(F.when(F.col("score").isNull(), F.col("pos") + F.col("neg"))), F.lit(0)).alias("u")
+    )
+    curve = running_counts(counts)
     tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
     seen_before = tp + fp - pos - neg
     precision = tp / (tp + fp)
@@ -87,4 +80,5 @@ def ranking_metrics(df: DataFrame, score: str, label: str, ranges: int = RANGES)
         n.alias("negatives"),
         (1 - F.col("lost2").cast("double") / 2 / p / n).alias("roc_auc"),
         (F.col("area") / p).alias("pr_auc"),
+        unscored.scalar().alias("unscored"),
     )

@@ -32,7 +32,13 @@ def insert_or_ignore(
 def update_scores(
     predictions: DataFrame, scores: DataFrame, bands: RiskBands = SHIPPED_BANDS
 ) -> DataFrame:
-    """Rows with a new score take it, its band and ``scored = 1``; others stay. ``created_at`` is kept."""
+    """Rows with a new score take it, its band and ``scored = 1``; others stay. ``created_at`` is kept.
+
+    Of several scores for one id the newest by ``created_at`` counts where there is one, then the
+    highest; so scores never multiply rows.
+    """
+    newest = [F.desc("created_at")] if "created_at" in scores.columns else []
+    scores = latest_by_key(scores, ["id"], [*newest, F.desc_nulls_last("risk_score")])
     new = scores.select("id", F.col("risk_score").alias("_new"))
     hit = F.col("_new").isNotNull()
     return (
@@ -101,14 +107,15 @@ def answer_explanations(
 
     The cache is asked first, so a stored explanation answers even for an edit that is gone. ``found``
     is false for unknown edits; rows with ``found and not cached`` are the ones to append to the
-    explanations table, whose newest row per edit counts.
+    explanations table, whose newest row per edit counts. A NULL ``force_refresh`` asks for none.
     """
-    stored = explanations.select(
+    stored = latest_explanations(explanations).select(
         "edit_id",
         F.struct("explanation", "model", "generated_at").alias("_stored"),
     )
     known = predictions.withColumnRenamed("id", "edit_id").withColumn("_known", F.lit(True))
-    asked = requests.select("edit_id", "force_refresh").distinct()
+    forced = F.coalesce("force_refresh", F.lit(False)).alias("force_refresh")
+    asked = requests.select("edit_id", forced).distinct()
     joined = asked.join(known, "edit_id", "left").join(stored, "edit_id", "left")
     cached = F.col("_stored").isNotNull() & ~F.col("force_refresh")
     found = cached | F.col("_known").isNotNull()

@@ -8,16 +8,17 @@ from pyspark.sql import functions as F
 
 from revlens.operators import features
 from revlens.operators.tables import latest_by_key
+from revlens.plans.jobs import run_compaction
 from revlens.plans.registry import query, table, texts
 from revlens.plans.views import EDITS_SQL, EVENTS_SQL, edits, raw_events
 from revlens.schemas import HISTORY_COLUMNS, PREDICTION_COLUMNS
-from revlens.session import scratch_path, spread
+from revlens.session import scratch_path
 from revlens.sinks import tables as sinks
 from revlens.sources import events as event_source
 from revlens.sources import files, history, xml
 from revlens.sources.tables import read_or_build, read_table
 from revlens.streaming.landing import land_events
-from revlens.streaming.scorer import ScorerPaths, read_predictions, start_scorer
+from revlens.streaming.scorer import ScorerPaths, read_archive, read_predictions, start_scorer
 
 # ---- history dump ---------------------------------------------------------------------------
 
@@ -25,7 +26,7 @@ from revlens.streaming.scorer import ScorerPaths, read_predictions, start_scorer
 def write_history(spark: SparkSession, sf: str) -> str:
     """Edits as a bz2 history dump: some rows are not revision creates, some lack flag or size."""
     k = F.element_at(F.split("page_title", " "), -1).cast("int")
-    rows = spread(edits(spark, sf)).withColumn("k", k)
+    rows = edits(spark, sf).withColumn("k", k)
     signup = F.col("page_title").startswith("signup")
     fields = {
         "wiki_db": F.col("wiki"),
@@ -90,17 +91,6 @@ def _raw_bytes(spark, sf):
     return files.raw_bytes(spark, path).agg(F.sum("n_bytes").alias("n_bytes"))
 
 
-@query("file_inventory")
-def _inventory(spark, sf):
-    """Sizes of the table files themselves."""
-    return files.file_inventory(spark, sf, "*.parquet")
-
-
-@query("file_checksums")
-def _checksums(spark, sf):
-    return files.file_checksums(files.list_files(spark, sf, "*.parquet"))
-
-
 # ---- XML dump -------------------------------------------------------------------------------
 
 
@@ -227,19 +217,18 @@ def _read_or_build(spark, sf):
 @query(
     "archive_by_date",
     """SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n_rows, count(DISTINCT event_id) AS n_keys
-    FROM events WHERE ts >= TIMESTAMP '2024-01-10' GROUP BY 1""",
+    FROM events GROUP BY 1""",
 )
 def _archive(spark, sf):
-    """Archive two halves as batches, one of them twice; the date filter prunes folders."""
+    """Archive two halves as batches, one of them twice, and read every day."""
     path = scratch_path(spark, "archive")
     rows = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     clicks = F.col("event_type") == "click"
     for batch_id, part in ((0, rows.filter(clicks)), (1, rows.filter(~clicks)), (0, rows.filter(clicks))):
-        sinks.archive(part, path, F.col("ts"), batch_id)
+        sinks.archive(part, path, F.col("ts"), "events", batch_id)
     stored = read_table(spark, path).withColumn("date", F.col("date").cast("string"))
     return (
-        stored.filter(F.col("date") >= "2024-01-10")
-        .groupBy("date")
+        stored.groupBy("date")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_keys"))
     )
 
@@ -257,7 +246,7 @@ def _upsert(spark, sf):
     )
     view = F.col("event_type") == "view"
     for batch_id, part in ((0, rows.filter(view)), (1, rows.filter(~view)), (0, rows.filter(view))):
-        sinks.append_batch(part, path, batch_id)
+        sinks.append_batch(part, path, "events", batch_id)
     latest = latest_by_key(read_table(spark, path), ["user_id"], [F.desc("ts"), F.desc("event_id")])
     return latest.select("user_id", "event_id", "value")
 
@@ -268,10 +257,12 @@ def _upsert(spark, sf):
 def land(spark: SparkSession, sf: str, copies: int = 1) -> str:
     """Events as landed JSON lines, each ``copies`` times and once broken, with blank lines between."""
     path = scratch_path(spark, "landing")
-    good = event_source.to_messages(spread(raw_events(spark, sf)))
+    good = event_source.to_messages(raw_events(spark, sf))
     value = F.col("value")
     noise = [F.lit(""), F.lit("  "), F.concat(F.lit("{"), value)]
-    good.select(F.explode(F.array(*[value] * copies, *noise)).alias("value")).write.text(path)
+    lines = good.select(F.explode(F.array(*[value] * copies, *noise)).alias("value"))
+    # several files, dealt out by their text, so that the events of a file are of all times
+    lines.repartition(4, F.xxhash64("value")).write.text(path)
     return path
 
 
@@ -345,6 +336,37 @@ def _replay(spark, sf):
     return _result(read_predictions(spark, paths.predictions))
 
 
+@query("stream_two_writers", EVENTS_SQL.rstrip() + _STREAM_SQL)
+def _two_writers(spark, sf):
+    """Two streams with checkpoints of their own, one per half of the wikis, fill one table."""
+    paths = ScorerPaths(scratch_path(spark, "predictions"))
+    for wiki in ("enwiki", "dewiki"):
+        target = scratch_path(spark, f"landing-{wiki}")
+        rows = spark.read.text(land(spark, sf))
+        rows.filter(F.get_json_object("value", "$.wiki") == wiki).write.text(target)
+        start_scorer(
+            spark, target, scratch_path(spark, "ckpt"), paths, trigger_seconds=None
+        ).awaitTermination()
+    return _result(read_predictions(spark, paths.predictions))
+
+
+@query("compacted_predictions", EVENTS_SQL.rstrip() + _STREAM_SQL)
+def _compacted(spark, sf):
+    """Half of the events scored and folded into a generation, the other half scored after it, folded
+    again; the last generation with the batches that are left holds every edit once."""
+    paths, checkpoint = ScorerPaths(scratch_path(spark, "predictions")), scratch_path(spark, "ckpt")
+    landing, generations = scratch_path(spark, "landing"), scratch_path(spark, "generations")
+    rows = spark.read.text(land(spark, sf))
+    half = F.pmod(F.crc32(F.col("value").cast("binary")), F.lit(2))
+    for part in (0, 1):
+        rows.filter(half == part).write.mode("append").text(landing)
+        start_scorer(
+            spark, landing, checkpoint, paths, trigger_seconds=None, max_files=1
+        ).awaitTermination()
+        generation = run_compaction(spark, paths.predictions, generations)
+    return _result(read_predictions(spark, generation, paths.predictions))
+
+
 @query(
     "stream_dedup",
     EVENTS_SQL
@@ -352,19 +374,12 @@ def _replay(spark, sf):
       WHERE type = 'edit' AND namespace = 0 GROUP BY wiki""",
 )
 def _dedup(spark, sf):
-    """Every event lands twice; within the watermark one row per edit stays."""
+    """Every event lands twice, in files of several batches; one row per edit is read, late or not."""
     paths = ScorerPaths(scratch_path(spark, "predictions"), scratch_path(spark, "archive"))
     start_scorer(
-        spark,
-        land(spark, sf, copies=2),
-        scratch_path(spark, "ckpt"),
-        paths,
-        trigger_seconds=None,
-        max_files=1_000_000,
-        dedup_delay="60 days",
-        state_partitions=spark.sparkContext.defaultParallelism,
-    ).awaitTermination()
-    rows = read_table(spark, paths.archive)
-    return rows.groupBy("wiki").agg(
+        spark, land(spark, sf, copies=2), scratch_path(spark, "ckpt"), paths,
+        trigger_seconds=None, max_files=1, dedup=True,
+    ).awaitTermination()
+    return read_archive(spark, paths.archive).groupBy("wiki").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_events")
     )

@@ -1,20 +1,26 @@
-"""Training and model scoring over the supplied tables. No SQL twin: the fit is iterative."""
+"""Training and model scoring over the supplied tables. The fit itself is iterative; its SQL twins say
+what must hold of the stages, the split and the scores."""
 
 from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.config import HISTORY, WEAK
+from revlens.config import HISTORY, SHIPPED_BANDS, WEAK, RiskBands
 from revlens.functions.risk import risk_band
 from revlens.functions.text import clean_text
 from revlens.functions.times import day_of_week, hour_of_day
+from revlens.ml.features import fitted_stages
 from revlens.ml.scoring import rescore, score
 from revlens.ml.training import fit_final, hashed_rows, train
+from revlens.operators.confusion import confusion_cells
+from revlens.operators.splits import with_fold, with_split
 from revlens.plans.registry import query, table
-from revlens.plans.views import edits, revisions
+from revlens.plans.views import EDITS_SQL, edits, revisions
 from revlens.session import stage_table
 
 
@@ -40,34 +46,174 @@ def labeled_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("logreg_scores")
-def _scores(spark, sf):
-    """Classifier fitted on the labelled documents, applied to the same rows."""
-    rows = labeled_documents(spark, sf)
+def _fitted(spark: SparkSession, sf: str) -> tuple[DataFrame, PipelineModel]:
+    """The labelled documents, written once, and the classifier fitted on them."""
+    rows = stage_table(labeled_documents(spark, sf), "labeled-documents")
     hashed, text = hashed_rows(rows, "revision_id", WEAK)
-    model = fit_final(stage_table(hashed, "hashed"), text, WEAK)
-    scored = score(rows, model)
-    return scored.select(
-        "revision_id", "label", "risk_score", risk_band(F.col("risk_score")).alias("risk_label")
+    return rows, fit_final(stage_table(hashed, "hashed"), text, WEAK)
+
+
+# the labelled documents with their cleaned texts, as the stages get them
+_LABELED_SQL = """WITH cleaned AS (
+  SELECT CAST(d.doc_id AS VARCHAR) AS revision_id, d.doc_id, l.toxic AS label,
+    lower(regexp_replace(d.text, '[^a-zA-Z0-9\\s]', ' ', 'g')) AS comment_clean,
+    lower(regexp_replace(d.source, '[^a-zA-Z0-9\\s]', ' ', 'g')) AS title_clean
+  FROM documents d JOIN labels l USING (doc_id))
+"""
+
+
+def _band_agrees(score: Column, label: Column, bands: RiskBands = SHIPPED_BANDS) -> Column:
+    wanted = F.when(score >= bands.high, "HIGH").when(score >= bands.medium, "MEDIUM").otherwise("LOW")
+    return label == wanted
+
+
+@query(
+    "stage_token_counts",
+    _LABELED_SQL
+    + """SELECT revision_id,
+      CAST(len(list_filter(regexp_split_to_array(comment_clean, '\\s+'), lambda t: length(t) >= 2)) AS DOUBLE) AS comment_tokens,
+      CAST(len(list_filter(regexp_split_to_array(title_clean, '\\s+'), lambda t: length(t) >= 2)) AS DOUBLE) AS title_tokens
+    FROM cleaned""",
+)
+def _stage_tokens(spark, sf):
+    """Tokens each text has by the classifier's own tokenizer and hashing stages."""
+    hashed, _ = hashed_rows(labeled_documents(spark, sf), "revision_id", WEAK)
+
+    def total(column):
+        return F.aggregate(vector_to_array(column), F.lit(0.0), lambda n, x: n + x)
+
+    return hashed.select(
+        "revision_id", total("comment_tf").alias("comment_tokens"), total("title_tf").alias("title_tokens")
     )
 
 
-@query("logreg_cv_metrics")
-def _cv(spark, sf):
-    """Split, cross-validated search, refit and held-out metrics, one row per measure."""
-    cfg = replace(HISTORY, min_rows=1)
-    result = train(labeled_documents(spark, sf), "revision_id", cfg)
-    points = {f"cv_auc reg={r} iter={i}": v for (r, i), v in result.cv_scores.items()}
-    measures = result.metrics | result.best | points | result.rows
-    return spark.createDataFrame(
-        [(name, float(value)) for name, value in measures.items()], "measure string, value double"
+@query(
+    "stage_idf",
+    _LABELED_SQL
+    + """, n AS (SELECT count(*) AS n_docs FROM cleaned)
+    SELECT 'comment' AS stage, n_docs, CAST(256 AS INTEGER) AS buckets, TRUE AS idf_as_defined, TRUE AS scaled FROM n
+    UNION ALL SELECT 'title', n_docs, CAST(128 AS INTEGER), TRUE, TRUE FROM n""",
+)
+def _stage_idf(spark, sf):
+    """The fitted stages against their definition, recomputed from the hashed counts: the inverse
+    document frequency is ln((n + 1) / (df + 1)), or 0 below the least df, and the scaler divides by
+    the sample deviation."""
+    hashed, _ = hashed_rows(labeled_documents(spark, sf), "revision_id", WEAK)
+    hashed = stage_table(hashed, "hashed")
+    fitted = Pipeline(stages=fitted_stages(WEAK)).fit(hashed)
+    transformed = fitted.transform(hashed)
+    parts = []
+    offset = 0
+    for name, stage in (("comment", fitted.stages[0]), ("title", fitted.stages[1])):
+        known = F.array(*[F.lit(float(x)) for x in stage.idf.toArray()])  # one number per bucket
+        width = len(stage.idf)
+        n = F.lit(float(stage.numDocs))
+        buckets = hashed.select(F.posexplode(vector_to_array(f"{name}_tf")).alias("b", "tf"))
+        df = buckets.groupBy("b").agg(F.count_if(F.col("tf") > 0).cast("double").alias("df"))
+        wanted = F.when(F.col("df") >= WEAK.min_doc_freq, F.log((n + 1) / (F.col("df") + 1))).otherwise(0.0)
+        as_defined = df.agg(F.bool_and(F.abs(wanted - F.get(known, F.col("b"))) < 1e-9).alias("idf_as_defined"))
+        raw, scaled = vector_to_array("raw_features"), vector_to_array("features")
+        pairs = transformed.select(
+            F.explode(F.arrays_zip(
+                F.sequence(F.lit(offset), F.lit(offset + width - 1)).alias("i"),
+                F.slice(raw, offset + 1, width).alias("raw"), F.slice(scaled, offset + 1, width).alias("scaled"),
+            )).alias("x")
+        ).select("x.*")
+        spread = pairs.groupBy("i").agg(
+            F.stddev_samp("raw").alias("sd"), F.max(F.abs("raw")).alias("top"), F.max(F.abs("scaled")).alias("s")
+        )
+        even = F.when(F.col("sd") == 0, F.col("s") == 0).otherwise(
+            F.abs(F.col("top") / F.col("sd") - F.col("s")) <= 1e-6 * (1 + F.col("s"))
+        )
+        parts.append(
+            as_defined.crossJoin(spread.agg(F.bool_and(even).alias("scaled"))).select(
+                F.lit(name).alias("stage"), F.lit(int(stage.numDocs)).cast("long").alias("n_docs"),
+                F.lit(width).alias("buckets"), "idf_as_defined", "scaled",
+            )
+        )
+        offset += width
+    return parts[0].unionAll(parts[1])
+
+
+@query(
+    "logreg_scores",
+    _LABELED_SQL
+    + """SELECT revision_id, label, TRUE AS is_logistic_of_margin, TRUE AS band_agrees FROM cleaned""",
+)
+def _scores(spark, sf):
+    """Classifier fitted on the labelled documents, applied to the same rows: the score is the logistic
+    function of the margin that the coefficients give, and the band that of the score."""
+    rows, model = _fitted(spark, sf)
+    last = model.stages[-1]
+    weights = F.array(*[F.lit(float(c)) for c in last.coefficients.toArray()])
+    margin = F.aggregate(
+        F.zip_with(vector_to_array("features"), weights, lambda x, c: x * c),
+        F.lit(float(last.intercept)),
+        lambda total, x: total + x,
+    )
+    margins = model.transform(rows).select("revision_id", margin.alias("margin"))
+    scored = score(rows, model).select("revision_id", "label", "risk_score")
+    wanted = 1 / (1 + F.exp(-F.col("margin")))
+    return scored.join(margins, "revision_id").select(
+        "revision_id",
+        "label",
+        (F.abs(F.col("risk_score") - wanted) < 1e-9).alias("is_logistic_of_margin"),
+        _band_agrees(F.col("risk_score"), risk_band(F.col("risk_score"))).alias("band_agrees"),
     )
 
 
-@query("model_rescore")
+def _hash_sql(salt: str) -> str:
+    return f"CAST('0x' || substr(md5('{salt}:' || doc_id), 1, 8) AS UBIGINT)"
+
+
+@query(
+    "logreg_cv_metrics",
+    f"""WITH s AS (SELECT doc_id, {_hash_sql("split42")} % 100 < 80 AS train, {_hash_sql("fold42")} % 3 AS fold
+      FROM documents JOIN labels USING (doc_id))
+    SELECT 'train rows' AS fact, count(*) FILTER (WHERE train) AS value FROM s
+    UNION ALL SELECT 'test rows', count(*) FILTER (WHERE NOT train) FROM s
+    UNION ALL SELECT 'rows of fold ' || fold, count(*) FROM s WHERE train GROUP BY fold
+    UNION ALL SELECT 'grid points', 6 UNION ALL SELECT 'fits', 19
+    UNION ALL SELECT 'confusion cells add up', 1 UNION ALL SELECT 'best point has the highest score', 1
+    UNION ALL SELECT 'scores lie in 0 to 1', 1""",
+)
+def _cv(spark, sf):
+    """Split, search over all 18 fold fits, refit and held-out metrics, as facts that can be checked."""
+    cfg = replace(HISTORY, min_rows=1, share_fits=False)
+    rows = stage_table(labeled_documents(spark, sf), "labeled-documents")
+    result = train(rows, "revision_id", cfg)
+    folds = with_fold(with_split(rows, "revision_id", cfg.train_percent).filter("split = 'train'"), "revision_id", cfg.folds)
+    cells = confusion_cells(result.scored).select((F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n"))
+    best = (result.best["best_reg_param"], int(result.best["best_max_iter"]))
+    measures = [*result.cv_scores.values(), *(v for k, v in result.metrics.items() if k != "training_time_seconds")]
+    facts = {
+        "train rows": result.rows["train"],
+        "test rows": result.rows["test"],
+        "grid points": len(result.cv_scores),
+        "fits": result.fits,
+        "best point has the highest score": int(result.cv_scores[best] == max(result.cv_scores.values())),
+        "scores lie in 0 to 1": int(all(0 <= m <= 1 for m in measures)),
+    }
+    known = F.array(*[F.struct(F.lit(k).alias("fact"), F.lit(v).cast("long").alias("value")) for k, v in facts.items()])
+    out = spark.range(1).select(F.inline(known))
+    by_fold = folds.groupBy("fold").agg(F.count(F.lit(1)).alias("value"))
+    out = out.unionAll(by_fold.select(F.concat(F.lit("rows of fold "), F.col("fold").cast("string")), "value"))
+    total = F.lit(result.rows["test"])
+    return out.unionAll(cells.select(F.lit("confusion cells add up"), (F.col("n") == total).cast("long")))
+
+
+@query(
+    "model_rescore",
+    EDITS_SQL
+    + """SELECT id, page_title, comment, created_at, CAST(1 AS INTEGER) AS scored, TRUE AS band_agrees,
+      TRUE AS score_in_range FROM edits""",
+)
 def _rescore(spark, sf):
-    """A model fitted on documents gives every stored edit a new score and band."""
-    hashed, text = hashed_rows(labeled_documents(spark, sf), "revision_id", WEAK)
-    model = fit_final(stage_table(hashed, "hashed"), text, WEAK)
+    """A model fitted on documents gives every stored edit a new score and band; the rest stays."""
+    _, model = _fitted(spark, sf)
     rows = rescore(edits(spark, sf), model)
-    return rows.select("id", "risk_score", "risk_label", "scored", "created_at")
+    return rows.select(
+        "id", "page_title", "comment", "created_at", "scored",
+        _band_agrees(F.col("risk_score"), F.col("risk_label")).alias("band_agrees"),
+        F.col("risk_score").between(0, 1).alias("score_in_range"),
+    )

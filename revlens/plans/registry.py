@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revlens.session import pin_utc, spread
+from revlens.session import pin_utc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +35,7 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents, spread over the cores where the file has too few row groups for them."""
-    return spread(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -352,11 +352,47 @@ def _feed_page(spark, sf):
     return page.select("id", "page_title", "risk_label", "created_at")
 
 
+def _deep_sql(stamp: str) -> str:
+    """The last full page of 200 of all edits, past ten thousand rows where there are that many."""
+    return (
+        EDITS_SQL
+        + f""", stamped AS (SELECT id, page_title, {stamp} AS created_at FROM edits),
+    n AS (SELECT greatest(0, count(*) // 200 - 1) AS page FROM stamped),
+    numbered AS (SELECT *, row_number() OVER (ORDER BY created_at DESC NULLS LAST, id DESC) - 1 AS place FROM stamped)
+    SELECT id, page_title, created_at FROM numbered, n WHERE place >= page * 200 AND place < page * 200 + 200"""
+    )
+
+
+def _deep_page(spark, sf, stamp):
+    rows = edits(spark, sf).withColumn("created_at", stamp)
+    page = max(0, rows.count() // 200 - 1) + 1
+    return feed.feed_page(rows, page, 200).select("id", "page_title", "created_at")
+
+
+@query("feed_page_deep", _deep_sql("created_at"))
+def _feed_page_deep(spark, sf):
+    return _deep_page(spark, sf, F.col("created_at"))
+
+
+@query("feed_page_deep_nulls", _deep_sql("CASE WHEN CAST(id AS BIGINT) % 5 < 3 THEN NULL ELSE created_at END"))
+def _feed_page_deep_nulls(spark, sf):
+    """Three fifths of all rows have no stamp and come last."""
+    stamp = F.when(F.col("id").cast("bigint") % 5 < 3, None).otherwise(F.col("created_at"))
+    return _deep_page(spark, sf, stamp)
+
+
+@query("feed_page_deep_tied", _deep_sql("'2024-01-01T00:00:00.000000'"))
+def _feed_page_deep_tied(spark, sf):
+    """All rows share one stamp, as after a backfill in one batch."""
+    return _deep_page(spark, sf, F.lit("2024-01-01T00:00:00.000000"))
+
+
 @query(
     "feed_page_after",
     EDITS_SQL
     + """SELECT id, created_at FROM edits WHERE wiki = 'enwiki' AND risk_label = 'HIGH'
-      AND (created_at < '2024-01-20T00:00:00' OR (created_at = '2024-01-20T00:00:00' AND id < ''))
+      AND (created_at < '2024-01-20T00:00:00' OR created_at IS NULL
+        OR (created_at = '2024-01-20T00:00:00' AND id < ''))
       ORDER BY created_at DESC, id DESC LIMIT 50""",
 )
 def _feed_after(spark, sf):
@@ -503,7 +539,9 @@ def _rescore(spark, sf):
     rows = edits(spark, sf)
     score = heuristic_score(*(F.col(c) for c in ("comment", "user", "is_anon", "length_delta")))
     fresh = rows.filter(F.col("namespace") == 0).select("id", score.alias("risk_score"))
-    merged = tables.update_scores(rows, fresh)
+    # every score three times, twice with a lower value: the highest counts, no row is multiplied
+    lower = fresh.select("id", (F.col("risk_score") / 2).alias("risk_score"))
+    merged = tables.update_scores(rows, fresh.unionAll(lower).unionAll(lower))
     return merged.select(
         "id", F.round("risk_score", 6).alias("risk_score"), "risk_label", "scored", "created_at"
     )
@@ -552,14 +590,17 @@ def _unexplained(spark, sf):
     FROM a""",
 )
 def _cache(spark, sf):
-    """Requests for every edit shifted by 1000 ids, so some are unknown; views ask for a refresh."""
+    """Requests for every edit shifted by 1000 ids, so some are unknown; views ask for a refresh. Two
+    texts are stored per explained edit, of which the newer one answers."""
     rows = edits(spark, sf)
     requests = table(spark, sf, "events").select(
         (F.col("event_id") + 1000).cast("string").alias("edit_id"),
         (F.col("event_type") == "view").alias("force_refresh"),
     )
     now = F.lit("2024-02-02 00:00:00").cast("timestamp")
-    return tables.answer_explanations(requests, rows, _explained(rows), now).drop("model")
+    stored = _explained(rows)
+    older = stored.withColumns({"explanation": F.lit("old text"), "generated_at": F.lit("2024-01-01 00:00:00")})
+    return tables.answer_explanations(requests, rows, stored.unionByName(older), now).drop("model")
 
 
 @query(
@@ -657,32 +698,6 @@ def _tfidf(spark, sf):
     )
 
 
-@query(
-    "scaled_features",
-    EDITS_SQL
-    + """SELECT id, round(length_delta / (SELECT stddev_samp(length_delta) FROM edits), 6) AS length_delta,
-      round(is_anon / (SELECT stddev_samp(is_anon) FROM edits), 6) AS is_anon,
-      round(namespace / (SELECT stddev_samp(namespace) FROM edits), 6) AS namespace FROM edits""",
-)
-def _scaled(spark, sf):
-    """Assembled numbers divided by their sample deviation, as before the classifier."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    names = ["length_delta", "is_anon", "namespace"]
-    rows = edits(spark, sf).select("id", *names)
-    stages = [
-        VectorAssembler(inputCols=names, outputCol="raw", handleInvalid="keep"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=False, withStd=True),
-    ]
-    scaled = Pipeline(stages=stages).fit(rows).transform(rows)
-    values = vector_to_array("features")
-    return scaled.select(
-        "id", *[F.round(values[i], 6).alias(name) for i, name in enumerate(names)]
-    )
-
-
 def _size_scores(spark, sf):
     """Labelled documents with their length as score."""
     docs = table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double").alias("s"))
@@ -706,15 +721,20 @@ _SCORED_SQL = """WITH x AS (SELECT CAST(n_chars AS DOUBLE) AS s, toxic AS label,
     n AS (SELECT count(*) FILTER (WHERE label = 1) AS np, count(*) FILTER (WHERE label = 0) AS nn FROM x)
     SELECT CAST(np AS BIGINT) AS positives, CAST(nn AS BIGINT) AS negatives,
       round((SELECT sum(rk) FROM r WHERE label = 1) / np / nn - (np + 1) / 2.0 / nn, 9) AS roc_auc,
-      round((SELECT sum(pos * (prec + coalesce(prev, prec)) / 2) FROM p) / np, 9) AS pr_auc FROM n""",
+      round((SELECT sum(pos * (prec + coalesce(prev, prec)) / 2) FROM p) / np, 9) AS pr_auc,
+      2 * (SELECT count(*) FROM x) AS unscored FROM n""",
 )
 def _ranking(spark, sf):
-    areas = ranking.ranking_metrics(_size_scores(spark, sf), "s", "label")
+    """All rows with their score, once more without one, and once more with NaN."""
+    rows = _size_scores(spark, sf)
+    none, nan = (rows.withColumn("s", F.lit(v).cast("double")) for v in (None, "NaN"))
+    areas = ranking.ranking_metrics(rows.unionAll(none).unionAll(nan), "s", "label")
     return areas.select(
         "positives",
         "negatives",
         F.round("roc_auc", 9).alias("roc_auc"),
         F.round("pr_auc", 9).alias("pr_auc"),
+        "unscored",
     )
 
 

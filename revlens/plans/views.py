@@ -19,13 +19,13 @@ from revlens.schemas import EVENT
 # comment of an event by its k; the texts touch every rule, NULL and blanks included
 COMMENTS = (
     "",
-    "Reverted edits by user",
-    "rv vandalism",
-    "Fixed typo in introduction",
-    "Undid revision 123 by Test",
+    "Reverted two edits of a guest",
+    "rv blanking, see talk",
+    "Small typo in the lead",
+    "Undid revision 4711 by Mole",
     "copyvio removal",
     "customer service note",
-    "/* Section */ clarified wording",
+    "/* History */ reworded two lines",
     "   ",
     "Off topic; not notable",
     None,
@@ -115,10 +115,10 @@ named AS (
   SELECT *, CASE user_id % 6 WHEN 0 THEN '10.0.0.' || user_id WHEN 1 THEN '2001:db8::' || user_id
     WHEN 2 THEN 'Bot' || user_id WHEN 3 THEN 'abc:' || user_id || 'x' WHEN 4 THEN ''
     ELSE 'Éditeur ' || user_id END AS uname,
-  CASE k % 12 WHEN 0 THEN '' WHEN 1 THEN 'Reverted edits by user' WHEN 2 THEN 'rv vandalism'
-    WHEN 3 THEN 'Fixed typo in introduction' WHEN 4 THEN 'Undid revision 123 by Test'
+  CASE k % 12 WHEN 0 THEN '' WHEN 1 THEN 'Reverted two edits of a guest' WHEN 2 THEN 'rv blanking, see talk'
+    WHEN 3 THEN 'Small typo in the lead' WHEN 4 THEN 'Undid revision 4711 by Mole'
     WHEN 5 THEN 'copyvio removal' WHEN 6 THEN 'customer service note'
-    WHEN 7 THEN '/* Section */ clarified wording' WHEN 8 THEN '   '
+    WHEN 7 THEN '/* History */ reworded two lines' WHEN 8 THEN '   '
     WHEN 9 THEN 'Off topic; not notable' WHEN 10 THEN NULL
     ELSE 'Ajouté: réf. & 100%_détails' END AS comment
   FROM e),

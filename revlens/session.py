@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_JOB_ROOT: ContextVar[str | None] = ContextVar("job_root", default=None)
+_ENDING: set[str] = set()
+
 
 def build_session(app: str = "revlens", **conf: str) -> SparkSession:
     """Session for jobs started outside a cluster launcher.
@@ -35,8 +42,8 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the one named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only on a local master without that setting; on a cluster the
-    setting is required, since other hosts cannot read this host's disk.
+    Without that setting a cluster is an error, since other hosts cannot read this host's disk; a
+    local master, whose only host is this one, takes a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -45,12 +52,55 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="revlens-")
+    return f"{tempfile.gettempdir()}/revlens-{os.getpid()}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    found, system = _hadoop_path(spark, path)
+    system.delete(found, True)
+
+
+def folder_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Names below a folder that begin so; none if there is no such folder."""
+    found, system = _hadoop_path(spark, path)
+    if not system.exists(found):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(found)]
+    return [n for n in names if n.startswith(prefix)]
+
+
+@contextmanager
+def job_scratch(spark: SparkSession, work_dir: str) -> Iterator[str]:
+    """Scratch tables of a job lie under its own folder and go when it ends, also if it fails."""
+    root = f"{work_dir.rstrip('/')}/_scratch-{uuid.uuid4().hex}"
+    token = _JOB_ROOT.set(root)
+    try:
+        yield root
+    finally:
+        _JOB_ROOT.reset(token)
+        drop_folder(spark, root)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that no earlier run has used."""
-    return f"{shared_root(spark)}/revlens/{name}-{uuid.uuid4().hex}"
+    """A path no earlier run has used: under the running job's folder, else under the application's.
+
+    The application's folder is deleted when its JVM ends.
+    """
+    root = _JOB_ROOT.get()
+    if root is None:
+        root = f"{shared_root(spark)}/revlens-{spark.sparkContext.applicationId}"
+        if root not in _ENDING:
+            found, system = _hadoop_path(spark, root)
+            system.mkdirs(found)
+            system.deleteOnExit(found)
+            _ENDING.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
@@ -62,14 +112,3 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """More tasks for heavy row-local work on an input of few partitions.
-
-    A table of one large row group is read by one task whatever the split size. If the scan has
-    fewer partitions than there are cores its rows are dealt out evenly; any larger input is left as
-    it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

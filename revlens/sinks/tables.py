@@ -20,48 +20,64 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Adds one micro-batch to a table laid out by batch; writing the same batch again replaces it."""
+def append_batch(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> None:
+    """Adds one micro-batch to a table laid out by stream and batch; the same batch of the same stream
+    replaces itself, other streams' batches of that number stay."""
+    _replace(rows, path, [], stream_id, batch_id)
+
+
+def _replace(
+    rows: DataFrame, path: str, layout: list[str], stream_id: str, batch_id: int
+) -> None:
     (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows.withColumn("stream_id", F.lit(stream_id))
+        .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*layout, "stream_id", "batch_id")
         .parquet(path)
     )
 
 
 def archive(
-    rows: DataFrame, path: str, date: Column, batch_id: int | None = None
+    rows: DataFrame,
+    path: str,
+    date: Column,
+    stream_id: str | None = None,
+    batch_id: int | None = None,
 ) -> None:
     """Archive laid out by event date, so a query for some days reads only their folders.
 
-    Rows of one day are many; they are not gathered, each task writes its own files. With
-    ``batch_id`` a repeated micro-batch replaces its own files.
+    Rows of one day are many; they are not gathered, each task writes its own files. With stream and
+    batch a repeated micro-batch replaces its own files.
     """
-    layout = ["date"]
     rows = rows.withColumn("date", F.date_format(date, "yyyy-MM-dd"))
     rows = rows.withColumn("processed_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd"))
     if batch_id is None:
-        rows.write.mode("append").partitionBy(*layout).parquet(path)
-        return
-    (
-        rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*layout, "batch_id")
-        .parquet(path)
-    )
+        rows.write.mode("append").partitionBy("date").parquet(path)
+    else:
+        _replace(rows, path, ["date"], stream_id or "", batch_id)
+
 
+def append_delta(rows: DataFrame, path: str, stream_id: str, batch_id: int) -> bool:
+    """Appends to a Delta table, once for each stream and batch; without the Delta jar it logs that.
 
-def append_delta(rows: DataFrame, path: str) -> bool:
-    """Appends to a Delta table; without the Delta jar it logs and goes on."""
+    Any other problem, such as a full disk or a schema that does not fit, is raised.
+    """
+    writer = (
+        rows.write.format("delta")
+        .mode("append")
+        .option("txnAppId", stream_id)
+        .option("txnVersion", batch_id)
+    )
     try:
-        rows.write.format("delta").mode("append").save(path)
-        return True
+        writer.save(path)
     except Exception as problem:
-        log.warning("delta archive skipped: %s", str(problem).splitlines()[0])
+        if "DATA_SOURCE_NOT_FOUND" not in str(problem):
+            raise
+        log.warning("no Delta source: %s", str(problem).splitlines()[0])
         return False
+    return True
 
 
 def compact_latest(latest: DataFrame, path: str) -> None:

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,34 +76,3 @@ def raw_bytes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         .groupBy(F.col("_metadata.file_name").alias("name"))
         .agg(F.sum(F.octet_length("value").cast("bigint") + 1).alias("n_bytes"))
     )
-
-
-def file_checksums(files: DataFrame) -> DataFrame:
-    """MD5 per file of (path, length) rows.
-
-    A checksum is sequential per file; tasks share the files and stream each in small pieces, so no
-    file has to fit into memory.
-    """
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-        from urllib.parse import quote
-
-        from pyarrow import fs
-
-        for batch in batches:
-            sums = []
-            for path in batch["path"]:
-                if path.startswith("file:"):
-                    system, inner = fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-                else:
-                    system, inner = fs.FileSystem.from_uri(quote(path, safe="/:@"))
-                md5 = hashlib.md5()
-                # the stored bytes, also of compressed files
-                with system.open_input_stream(inner, compression=None) as stream:
-                    while piece := stream.read(8 << 20):
-                        md5.update(piece)
-                sums.append(md5.hexdigest())
-            yield pd.DataFrame({"path": batch["path"], "length": batch["length"], "md5": sums})
-
-    return files.mapInPandas(digest, "path string, length bigint, md5 string")

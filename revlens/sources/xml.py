@@ -121,18 +121,3 @@ def count_revisions(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return lines.groupBy(F.col("_metadata.file_name").alias("name")).agg(
         F.sum(tags.cast("bigint")).alias("revisions")
     )
-
-
-def estimate_revisions(spark: SparkSession, paths: str | list[str], fraction: float) -> DataFrame:
-    """Revision tags per file from a sample of lines, scaled by the sampled share of bytes."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_name").alias("name"),
-        (F.octet_length("value") + 1).cast("bigint").alias("size"),
-        (F.size(F.split("value", "<revision>")) - 1).alias("tags"),
-        (F.rand(42) < fraction).cast("int").alias("kept"),
-    )
-    sampled = F.sum(F.col("kept") * F.col("tags"))
-    scale = F.sum("size") / F.nullif(F.sum(F.col("kept") * F.col("size")), F.lit(0))
-    return lines.groupBy("name").agg(
-        F.coalesce(F.round(sampled * scale), F.lit(0.0)).cast("bigint").alias("revisions_estimate")
-    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -40,36 +41,43 @@ def event_key() -> Column:
     return edit_key(F.coalesce("wiki", F.lit("")), event_revision())
 
 
-def drop_repeats(features: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """One event per edit within the watermark; state is dropped as the watermark moves."""
-    return (
-        features.withColumn("_key", event_key())
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(["_key"])
-        .drop("_key")
+def drop_repeats(features: DataFrame) -> DataFrame:
+    """One event per edit of a batch, the latest by its time."""
+    latest = latest_by_key(
+        features.withColumn("_key", event_key()), ["_key"], [F.desc("event_time"), F.desc("id")]
     )
+    return latest.drop("_key")
+
+
+def stream_name(checkpoint: str) -> str:
+    """A stream is its checkpoint: batch numbers start anew with a new one."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
 def score_batch(
     model: PipelineModel | None,
     paths: ScorerPaths,
+    stream_id: str,
     bands: RiskBands = SHIPPED_BANDS,
+    dedup: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: score once, write every sink from the kept rows, nothing on the driver.
 
-    Each sink replaces the files of its own batch id, so running a batch again changes nothing.
+    Each sink replaces what this stream wrote for this batch id, so running a batch again changes
+    nothing, and streams that share a table leave each other's rows alone.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch, model, event_key()).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = drop_repeats(batch) if dedup else batch
+        scored = score(rows, model, event_key()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if scored.isEmpty():
                 return
-            append_batch(scored_predictions(scored, bands), paths.predictions, batch_id)
+            append_batch(scored_predictions(scored, bands), paths.predictions, stream_id, batch_id)
             if paths.archive:
-                archive(scored, paths.archive, F.col("event_time"), batch_id)
+                archive(scored, paths.archive, F.col("event_time"), stream_id, batch_id)
             if paths.delta:
-                append_delta(scored, paths.delta)
+                append_delta(scored, paths.delta, stream_id, batch_id)
         finally:
             scored.unpersist()
 
@@ -85,33 +93,27 @@ def start_scorer(
     bands: RiskBands = SHIPPED_BANDS,
     trigger_seconds: int | None = 30,
     max_files: int = 10,
-    dedup_delay: str | None = None,
-    state_partitions: int | None = None,
+    dedup: bool = False,
 ) -> StreamingQuery:
     """Runs until stopped, or with ``trigger_seconds=None`` until the landed files are used up.
 
-    The state of ``dedup_delay`` keeps for good the number of partitions of its first start, and AQE does not
-    merge them; ``state_partitions`` sets that number for this query alone.
+    ``dedup`` folds repeats within a batch. Those of other batches stay in the tables and give way in
+    ``read_predictions`` and ``read_archive``, which keep one row per edit; so an event that comes late
+    is never lost behind a watermark, and no state grows.
     """
     features = event_features(article_edits(stream_events(spark, landing, max_files)))
-    if dedup_delay:
-        features = drop_repeats(features, dedup_delay)
-    writer = features.writeStream.foreachBatch(score_batch(model, paths, bands)).option(
-        "checkpointLocation", checkpoint
-    )
+    body = score_batch(model, paths, stream_name(checkpoint), bands, dedup)
+    writer = features.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     if trigger_seconds is None:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
-    if state_partitions is None:
-        return writer.start()
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    spark.conf.set(name, state_partitions)
-    try:
-        return writer.start()  # a started query keeps its own copy of the settings
-    finally:
-        spark.conf.set(name, before)
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{trigger_seconds} seconds").start()
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The archive with one row per edit, the latest by event time."""
+    rows = spark.read.parquet(path).withColumn("_key", event_key())
+    order = [F.desc("event_time"), F.desc("stream_id"), F.desc("batch_id")]
+    return latest_by_key(rows, ["_key"], order).drop("_key")
 
 
 def read_predictions(spark: SparkSession, *paths: str) -> DataFrame:
@@ -119,11 +121,17 @@ def read_predictions(spark: SparkSession, *paths: str) -> DataFrame:
 
     Rows of a generation carry no batch id and give way to a batch row of the same time.
     """
-    layout = T.StructType([*PREDICTION.fields, T.StructField("batch_id", T.LongType())])
+    layout = T.StructType(
+        [
+            *PREDICTION.fields,
+            T.StructField("stream_id", T.StringType()),
+            T.StructField("batch_id", T.LongType()),
+        ]
+    )
     rows = spark.read.schema(layout).parquet(paths[0])
     for path in paths[1:]:
         rows = rows.unionByName(spark.read.schema(layout).parquet(path))
-    return latest_by_key(rows, ["id"], [F.desc("created_at"), F.desc("batch_id")]).select(
+    return latest_by_key(rows, ["id"], [F.desc("created_at"), F.desc("batch_id"), F.desc("stream_id")]).select(
         *PREDICTION_COLUMNS
     )
 

@@ -54,7 +54,7 @@ def test_search_equals_a_plain_cross_validation(spark):
     cfg = replace(SMALL, grid_reg=(0.01, 0.1), grid_iter=(3, 50))
     hashed, _ = training.hashed_rows(labeled_rows(spark), "revision_id", cfg)
     hashed = with_fold(hashed, "revision_id", cfg.folds).persist()
-    got, fits = training.cross_validate(hashed, cfg, hashed.count())
+    got, fits = training.cross_validate(hashed, cfg)
     lr = classifier(cfg)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).addGrid(lr.maxIter, [3, 50]).build()
     plain = CrossValidator(
@@ -144,9 +144,30 @@ def test_history_job(spark, tmp_path, sf_dir):
     matrix = spark.read.json(cfg.path("confusion_matrix")).first()
     assert matrix.tp + matrix.fp + matrix.tn + matrix.fn == first.training.rows["test"]
 
+    assert first.counts["steps"]
+    assert not list((tmp_path / "work").glob("_scratch-*"))
+
     again = run_history(spark, cfg)
     assert again.reused and again.training is None
     assert again.counts["labels"] == first.counts["labels"]
+    assert again.counts["steps"] == first.counts["steps"]
+
+
+def test_history_job_knows_its_inputs(spark, tmp_path):
+    history_file(tmp_path / "a.tsv.bz2", 600)
+    history_file(tmp_path / "b.tsv.bz2", 300)
+    small = replace(SMALL, min_rows=10, grid_reg=(0.01,), grid_iter=(20,))
+    cfg = JobConfig(
+        work_dir=str(tmp_path / "w"), history_paths=(str(tmp_path / "a.tsv.bz2"),), row_cap=200, train=small
+    )
+    assert run_history(spark, cfg).counts["labels"]["total"] == 200
+    whole = run_history(spark, replace(cfg, row_cap=None))
+    assert not whole.reused and whole.counts["labels"]["total"] == 600
+    other = run_history(spark, replace(cfg, row_cap=None, history_paths=(str(tmp_path / "b.tsv.bz2"),)))
+    assert not other.reused and other.counts["labels"]["total"] == 300
+    last = replace(cfg, row_cap=None, history_paths=(str(tmp_path / "b.tsv.bz2"),))
+    assert run_history(spark, last).reused
+    assert not run_history(spark, replace(last, train=replace(small, grid_reg=(0.1,)))).reused
 
 
 def test_history_job_without_rows(spark, tmp_path):

@@ -55,16 +55,32 @@ def predictions(spark, sf_dir):
     return edits(spark, sf_dir).persist()
 
 
-def test_deep_pages_equal_the_sorted_list(spark, predictions, monkeypatch):
+def test_deep_pages_equal_the_sorted_list(spark, predictions):
     wanted = [r.id for r in predictions.orderBy(F.desc("created_at"), F.desc("id")).collect()]
-    monkeypatch.setattr(feed, "SORTED_SKIP", 3)
     for page in (1, 2, 7, 60, len(wanted) // 10, len(wanted) // 10 + 1):
         got = [r.id for r in feed.feed_page(predictions, page, 10).collect()]
         assert got == wanted[(page - 1) * 10 : page * 10]
 
 
-def test_deep_page_inside_one_stamp(spark, monkeypatch):
-    monkeypatch.setattr(feed, "SORTED_SKIP", 3)
+def test_rows_without_a_stamp_come_last_on_any_page(spark):
+    stamp = F.when(F.col("n") % 5 < 2, F.format_string("2024-01-01T00:%02d:00", (F.col("n") % 60).cast("int")))
+    df = spark.range(500).select(F.col("id").alias("n")).select(
+        F.format_string("%04d", "n").alias("id"), stamp.alias("created_at")
+    )
+    wanted = [r.id for r in df.orderBy(F.desc_nulls_last("created_at"), F.desc("id")).collect()]
+    for page in (1, 4, 5, 9, 10, 11):
+        assert [r.id for r in feed.feed_page(df, page, 50).collect()] == wanted[(page - 1) * 50 : page * 50]
+    plan = feed.feed_page(df, 9, 50)._jdf.queryExecution().toString()
+    assert "Offset" not in plan and "offset=" not in plan
+
+
+def test_seek_walks_over_rows_without_a_stamp(spark):
+    df = spark.createDataFrame([("a", "2024"), ("b", None), ("c", None), ("d", None)], "id string, created_at string")
+    assert [r.id for r in feed.feed_after(df, "2024", "a", 2).collect()] == ["d", "c"]
+    assert [r.id for r in feed.feed_after(df, None, "c", 2).collect()] == ["b"]
+
+
+def test_deep_page_inside_one_stamp(spark):
     df = spark.range(100).select(
         F.format_string("%03d", "id").alias("id"), F.lit("2024-01-01T00:00:00.000000").alias("created_at")
     )
@@ -217,14 +233,28 @@ def test_areas(spark, distinct):
         for _ in range(600)
     ]
     df = spark.createDataFrame(data, "s double, label int").withColumn("label", F.col("label"))
-    wanted = ranking.ranking_metrics(df, "s", "label", 1).first()
+    wanted = ranking.ranking_metrics(df.coalesce(1), "s", "label").first()
     assert wanted.roc_auc == pytest.approx(brute_roc(data), abs=1e-12)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="s", numBins=0)
     spark_pr = evaluator.setMetricName("areaUnderPR").evaluate(df.withColumn("label", F.col("label") * 1.0))
     assert wanted.pr_auc == pytest.approx(spark_pr, abs=1e-9)
-    for ranges in (2, 7, 64):
-        got = ranking.ranking_metrics(df, "s", "label", ranges).first()
-        assert tuple(got) == pytest.approx(tuple(wanted), abs=1e-12)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for ranges in (1, 7, 32):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            got = ranking.ranking_metrics(df, "s", "label").first()
+            assert tuple(got) == pytest.approx(tuple(wanted), abs=1e-12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_rows_without_a_score_are_counted_apart(spark):
+    data = [(0.9, 1), (0.4, 0), (0.2, 1), (None, 1), (float("nan"), 0)]
+    got = ranking.ranking_metrics(spark.createDataFrame(data, "s double, label int"), "s", "label").first()
+    assert (got.positives, got.negatives, got.unscored) == (2, 1, 2)
+    assert got.roc_auc == pytest.approx(0.5)
 
 
 def test_confusion_document(spark):
