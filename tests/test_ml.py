@@ -75,9 +75,11 @@ def test_search_equals_a_plain_cross_validation(spark):
 def test_one_fit_serves_two_limits_once_converged(spark):
     hashed, _ = training.hashed_rows(labeled_rows(spark, 300), "revision_id", SMALL)
     features = Pipeline(stages=fitted_stages(SMALL)).fit(hashed).transform(hashed)
-    models = training._fit_limits(classifier(SMALL), features, 0.1, (50, 100))
+    models = training._fit_limits(classifier(SMALL), features, 0.1, (50, 100), True)
     assert models[50] is models[100] and models[50].summary.totalIterations < 50
-    short = training._fit_limits(classifier(SMALL), features, 0.001, (2, 100))
+    apart = training._fit_limits(classifier(SMALL), features, 0.1, (50, 100), False)
+    assert apart[50] is not apart[100]
+    short = training._fit_limits(classifier(SMALL), features, 0.001, (2, 100), True)
     assert short[2] is not short[100]
 
 
