@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import Memo, send_if_small, staged
-from revlens.llm.words import encoded
+from revlens.llm.words import encoded, release
 
 #: Sequences in a window of the mixture.
 WINDOW_SEQUENCES = 64
@@ -38,7 +38,7 @@ class JsonCodec:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self._after_space: Memo[str, bytes] = Memo(
-            lambda w: self._plain(" " + w), 400_000, lambda words: self._all([" " + w for w in words])
+            lambda w: self._plain(" " + w), 250_000, lambda words: self._all([" " + w for w in words])
         )
 
     def _all(self, texts: list[str]) -> list[bytes]:
@@ -188,6 +188,7 @@ def tokens(
                 ],
                 ["doc_id", "queue", "part", "earlier", "n", "ids"],
             )
+            release()
 
     named = docs.select(
         F.col(id_col).alias("doc_id"),

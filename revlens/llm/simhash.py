@@ -7,12 +7,14 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.llm.common import send_if_small, spare_name, staged
 from revlens.llm.components import connected_components
+from revlens.llm.words import release
 
 BITS = 64
 #: Widths of the blocks a fingerprint is cut into.
@@ -60,13 +62,14 @@ def fingerprint(text: str | None, words_per_shingle: int = 4, seed: int = 42) ->
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4) -> DataFrame:
     """``doc_id``, ``fp`` (the fingerprint as a signed long) for every row of ``docs``."""
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, words_per_shingle) for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
+            fps = np.array([fingerprint(t.as_py(), words_per_shingle) for t in batch.column("text")], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            release()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         run, f"doc_id {kind}, fp bigint"
     )
 

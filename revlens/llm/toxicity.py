@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revlens.llm.common import Memo, fold, staged
-from revlens.llm.words import blocks
+from revlens.llm.words import blocks, release
 
 #: Labelled rows a fit may take; more are thinned by a hash of the id.
 FIT_ROWS = 20_000
@@ -32,6 +32,9 @@ FUZZY_SIZE = 5
 #: Words before and after a term that are its context.
 WINDOW = 6
 
+#: Words whose matches a task remembers, twice over.
+RECENT = 60_000
+
 EXACT, FUZZY, STEM = 1, 2, 3
 _PARTS = re.compile(r"[^\W_]+")
 
@@ -193,9 +196,9 @@ def _summary(matches: list[tuple[int, float, float, bool]], distinct: int, n_wor
 
 def features_of(texts: pa.Array, memo: Memo[str, float]) -> Iterator[list[float]]:
     """Features of every text in order; each distinct word of a block is matched once."""
-    texts = pc.utf8_lower(pc.fill_null(texts, ""))
+    texts = pc.fill_null(texts, "")
     for start, stop in blocks(texts):
-        words = pc.utf8_split_whitespace(texts.slice(start, stop - start))
+        words = pc.utf8_split_whitespace(pc.utf8_lower(texts.slice(start, stop - start)))
         offsets = words.offsets.to_numpy().astype(np.int64)
         offsets -= offsets[0]
         coded = words.flatten().dictionary_encode()
@@ -205,6 +208,8 @@ def features_of(texts: pa.Array, memo: Memo[str, float]) -> Iterator[list[float]
             continue
         match = np.array(memo.many(known))
         codes = coded.indices.to_numpy()
+        blank = np.flatnonzero((known == "")[codes])  # white space at an end, or nothing
+        blanks = np.searchsorted(blank, offsets)
         hits = np.flatnonzero(match[codes])
         firsts = np.searchsorted(hits, offsets)
         for doc in range(stop - start):
@@ -216,7 +221,7 @@ def features_of(texts: pa.Array, memo: Memo[str, float]) -> Iterator[list[float]
                 factor, quoted = context_weight(around, hit - low)
                 value = float(match[codes[hit]])
                 found.append((int(value // 100), value % 100, factor, quoted))
-            yield _summary(found, len(set(codes[hits[firsts[doc] : firsts[doc + 1]]].tolist())), b - a)
+            yield _summary(found, len(set(codes[hits[firsts[doc] : firsts[doc + 1]]].tolist())), b - a - int(blanks[doc + 1] - blanks[doc]))
 
 
 @dataclass(frozen=True)
@@ -366,10 +371,11 @@ def _harmless(words: DataFrame, lexicon: Lexicon) -> frozenset[str]:
 
 def score_features(docs: DataFrame, lexicon: Lexicon, id_col: str, text_col: str = "text") -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: Memo[str, float] = Memo(lexicon.meet_chunk, 250_000)
+        memo: Memo[str, float] = Memo(lexicon.meet_chunk, RECENT)
         for batch in batches:
             found = list(features_of(batch.column("text"), memo))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "f"])
+            release()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA.format(docs.schema[id_col].dataType.simpleString()))
@@ -399,9 +405,10 @@ def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold:
     schema = docs.schema
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: Memo[str, float] = Memo(model.lexicon.meet_chunk, 250_000)
+        memo: Memo[str, float] = Memo(model.lexicon.meet_chunk, RECENT)
         for batch in batches:
             rows = np.array(list(features_of(batch.column(text_at).cast(pa.string()), memo))).reshape(-1, FEATURES)
             yield batch.filter(pa.array(model.score(rows) < threshold))
+            release()
 
     return docs.mapInArrow(run, schema)

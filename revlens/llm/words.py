@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from revlens.llm.common import Memo
 
 #: Bytes of text whose words are held at once; a longer text is taken alone, in stretches.
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 _SPACE_AFTER_SPACE = r"[\p{Z}\t\n\v\f\r\x{85}\x{1c}-\x{1f}] "
 _FREE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -33,6 +33,11 @@ def stretches(text: str, size: int = 1 << 16) -> Iterator[str]:
         at = end
 
 
+def release() -> None:
+    """Hand memory of finished batches back, so that idle workers leave it to the executor."""
+    pa.default_memory_pool().release_unused()
+
+
 def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most ``BLOCK`` bytes together, or of one longer text."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
