@@ -239,6 +239,27 @@ def test_findings_by_rule_are_told_apart(spark, forest):
     assert got > 0.97
 
 
+SHORT = [
+    ("password: S3cr3t!Pa55", "S3cr3t!Pa55"), ('password = "hunter2hunter"', "hunter2hunter"), ('api_key="abcdefghijklmnopqrstuvwx"', "abcdefghijklmnopqrstuvwx"),
+    ("postgres://u:pa55word@h/db", "pa55word"), ("so -----BEGIN RSA PRIVATE KEY----- it", "-----BEGIN RSA PRIVATE KEY-----"),
+    ("Authorization: Bearer abcdEFgh.ijklMN.opqrSTUVwxyz", "abcdEFgh.ijklMN.opqrSTUVwxyz"), ("with QwErTyUiOpAsDfGhJkLz in", "QwErTyUiOpAsDfGhJkLz"),
+    ("-----BEGIN PRIVATE KEY-----\nabcDEFghi\njkl\n-----END PRIVATE KEY-----", "-----BEGIN PRIVATE KEY-----\nabcDEFghi\njkl\n-----END PRIVATE KEY-----"),
+    ("\uffff a\uffffb token = ab\uffffcd12!x", "ab\uffffcd12!x"), ("AWS_SECRET_ACCESS_KEY_2=hunter2x", "hunter2x"),
+]
+
+
+def test_secrets_without_sixteen_letters_and_digits(spark, forest):
+    calm = ["call getElementsByClassNameOrTag here", "the key: always do", "mail to name@mail.example.com"]
+    texts = [t for t, _ in SHORT] + calm
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r.k_doc_id, r.run) for r in secrets.scan(docs, *forest, ["doc_id"]).where("is_secret").collect()}
+    assert found == {(i, run) for i, (_, run) in enumerate(SHORT)}
+    hidden = {r.doc_id: r.text for r in secrets.redact(docs, *forest).collect()}
+    assert hidden == {i: t.replace(SHORT[i][1], secrets.MARK) if i < len(SHORT) else t for i, t in enumerate(texts)}
+    twice = spark.createDataFrame([(1, 'the garden, password = "garden7x", garden7x')], "doc_id long, text string")
+    assert secrets.redact(twice, *forest).first().text == f'the garden, password = "{secrets.MARK}", garden7x'
+
+
 # ---- chat
 
 
