@@ -260,6 +260,19 @@ def test_secrets_without_sixteen_letters_and_digits(spark, forest):
     assert secrets.redact(twice, *forest).first().text == f'the garden, password = "{secrets.MARK}", garden7x'
 
 
+def test_a_name_before_its_sign_is_no_part_of_the_run(spark, forest):
+    lines = [f"token={SECRET}", "GITHUB_TOKEN=ghp_aB3dE6gH9jK2mN5pQ8sT1vW4yZ7bC0eF3hI6", "some commit=" + SECRET, "x=YWJjZGVmZ2hpamtsbW5v1w=="]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    rows = secrets.scan(docs, *forest, ["doc_id"]).collect()
+    assert {r.k_doc_id: (r.run, r.is_secret) for r in rows if r.k_doc_id < 3} == {
+        0: (SECRET, True), 1: (lines[1].partition("=")[2], True), 2: (SECRET, False),
+    }
+    assert [r.run for r in rows if r.k_doc_id == 3] == ["YWJjZGVmZ2hpamtsbW5v1w=="] and len(rows) == 4
+    found = secrets.labelled_findings(spark, forest[1])
+    assert found.where("run like '%=%' and run not like '%=' and run rlike '^[\\\\w+/=-]*$'").count() == 0
+    assert found.where("label = 1 and before rlike '[A-Za-z]=$'").count() > 0
+
+
 # ---- chat
 
 
