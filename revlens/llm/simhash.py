@@ -296,13 +296,10 @@ def near_duplicates(
     rows = staged(fingerprints(docs, id_col, text_col, words_per_shingle), "fingerprints")
     named = rows.where("doc_id is not null")
     classes = staged(named.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-classes")
-    repeated = (
-        named.join(classes, "fp")
-        .groupBy("doc_id")
-        .agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-        .where("a <> b")
-        .select("a", "b")
-    )
+    # an id on rows of several classes links each of them to the smallest
+    held = named.join(classes, "fp").select("doc_id", "rep").distinct()
+    least = named.join(classes, "fp").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
+    repeated = held.join(least.select("doc_id", "a"), "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
     links = linked_classes(classes, max_bits).unionAll(repeated)
     components = connected_components(links)
     labelled = staged(

@@ -285,6 +285,16 @@ def test_one_document_of_each_group_stays(spark):
     assert sorted(((r.doc_id or -1) for r in got.collect())) == [-1, -1, 1, 2]
 
 
+def test_an_id_links_all_classes_of_its_texts(spark):
+    rng = random.Random(21)
+    texts = [" ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(60)) for _ in range(6)]
+    rows = [(i + 1, t) for i, t in enumerate(texts)] + [(9, t) for t in texts[:5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = simhash.near_duplicates(df, max_bits=0).collect()
+    assert len({r.fp for r in found}) == 6
+    assert sorted((r.doc_id, r.component_id) for r in found) == sorted([(i, 1) for i in range(1, 6)] + [(9, 1)] * 5 + [(6, 6)])
+
+
 def test_components_of_long_paths_and_stars(spark):
     from revlens.llm.components import connected_components
 
