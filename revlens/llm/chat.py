@@ -7,7 +7,7 @@ import math
 from collections.abc import Iterable, Iterator, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revlens.llm.common import staged
@@ -116,21 +116,29 @@ def exchange_events(turns: DataFrame) -> DataFrame:
     behind it is the result, a later call comes after the user's call before it; others are messages.
 
     Neighbouring turns are found by joins on (conversation, turn), so a conversation of any length is
-    never gathered. A turn number that is repeated keeps its first row by role and text.
+    never gathered. Rows that are alike in all four columns are one. All others come back, numbered
+    (``idx``) by role and text within their turn: of several user rows of a turn the first is the call
+    that is answered, the others are calls with ids of their own. Rows without a conversation or a
+    turn are messages, one each, and link nothing.
     """
     rows = turns.select(
         F.col("conv_id").cast("string").alias("conv"), F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    rows = staged(rows.groupBy("conv", "turn").agg(F.min(F.struct("role", "text")).alias("r")).select("conv", "turn", "r.role", "r.text"), "turns")
-    asked = rows.where("role = 'user'").select("conv", "turn")
-    call_id = F.concat_ws(":", F.col("conv"), F.col("turn"))
+    nowhere = F.col("conv").isNull() | F.col("turn").isNull()
+    lone = rows.where(nowhere).withColumn("idx", F.lit(0)).withColumn("result", F.lit(False))
+    number = F.row_number().over(Window.partitionBy("conv", "turn").orderBy("role", "text")) - 1
+    rows = rows.where(~nowhere).distinct().withColumn("idx", number)
+    ask = F.min(F.when(F.col("role") == "user", F.col("idx"))).over(Window.partitionBy("conv", "turn"))
+    rows = staged(rows.withColumn("ask", ask), "turns")
+    asked = rows.where("role = 'user' and idx = ask").select("conv", "turn")
+    call_id = F.concat_ws(":", F.col("conv"), F.col("turn"), F.when(F.col("idx") != F.col("ask"), F.col("idx")))
     before = asked.select("conv", (F.col("turn") + 2).alias("turn"), F.lit(True).alias("follows"))
     calls = (
         rows.where("role = 'user'")
         .join(before, ["conv", "turn"], "left")
         .select(
-            "conv", "turn", F.lit(0).alias("idx"), F.lit("call").alias("kind"), call_id.alias("id"), F.lit("reply").alias("name"),
+            "conv", "turn", "idx", F.lit("call").alias("kind"), call_id.alias("id"), F.lit("reply").alias("name"),
             F.to_json(F.struct(F.col("text").alias("prompt"), F.col("turn"))).alias("payload"),
             F.when(F.col("follows"), F.array(F.concat_ws(":", F.col("conv"), F.col("turn") - 2))).otherwise(F.array().cast("array<string>")).alias("after"),
         )
@@ -140,8 +148,10 @@ def exchange_events(turns: DataFrame) -> DataFrame:
         rows.where("role <> 'user' or role is null")
         .join(answered, ["conv", "turn"], "left")
         .withColumn("result", F.coalesce(F.col("answers") & (F.col("role") == "assistant"), F.lit(False)))
+        .select("conv", "turn", "role", "text", "idx", "result")
+        .unionByName(lone)
         .select(
-            "conv", "turn", F.lit(0).alias("idx"),
+            "conv", "turn", "idx",
             F.when(F.col("result"), F.lit("result")).otherwise(F.lit("message")).alias("kind"),
             F.when(F.col("result"), F.concat_ws(":", F.col("conv"), F.col("turn") - 1)).alias("id"),
             F.when(~F.col("result"), F.col("role")).alias("name"),

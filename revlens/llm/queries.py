@@ -108,7 +108,7 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn of every conversation as a linked, ordered, checked event in canonical JSON."""
     events = exchange_events(read(spark, sf_dir, "conversations"))
     return format_events(events, {"reply": REPLY}).select(
-        F.col("conv").cast("long").alias("conv_id"), "turn", "kind", "call_id", "linked", "valid", "place_turn", "rank", "json"
+        F.col("conv").try_cast("long").alias("conv_id"), "turn", "kind", "call_id", "linked", "valid", "place_turn", "rank", "json"
     )
 
 
