@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.llm import quality, secrets, toxicity
+from revlens.llm import hardneg, pii, quality, repair, secrets, toxicity
 from revlens.llm.bpe import round_trip
 from revlens.llm.chat import exchange_events, format_events
 from revlens.llm.common import read
@@ -189,6 +189,117 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: the plain spans' numbers and digest, and all spans."""
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
+def op12_hardneg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (id divisible by 100); every seventh row has another's label."""
+    vectors = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS w,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.r, a.vec_id AS anchor_id, d.vec_id, a.label = d.label AS same,
+           CAST(list_inner_product(a.w, d.w) AS BIGINT) AS score
+    FROM v a JOIN v d ON a.vec_id % 100 = 0 AND a.r <> d.r
+),
+positives AS (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS n FROM scored WHERE same
+),
+mined AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+           CAST(row_number() OVER (PARTITION BY p.r, p.n ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+    FROM positives p JOIN scored s ON p.r = s.r AND NOT s.same AND p.n <= 5
+     AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM mined WHERE rank <= 10
+"""
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults, the cheapest repair's cost and audit, the result's digest."""
+    conversations = read(spark, sf_dir, "conversations")
+    return repair.repair_report(repair.damaged(conversations), conversations).withColumnRenamed("conv", "conv_id")
+
+
+OP13_SQL = """
+WITH RECURSIVE given AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                          lambda c: CAST(ascii(c) AS BIGINT)) AS bytes
+    FROM conversations
+),
+numbered AS (
+    SELECT *, xor(list_reduce(bytes, lambda sum, byte: list_reduce(range(8),
+               lambda c, i: xor(c >> 1, (c & 1) * 3988292384), xor(sum, byte)), 4294967295), 4294967295) % 20 AS kind FROM given
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM numbered WHERE kind <> 0
+),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS n,
+           regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare FROM damaged
+),
+marked AS (
+    SELECT conv_id, turn, role, text, n, lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS before,
+           CASE WHEN bare = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'd' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault
+    FROM placed
+),
+inserted(s, t, k, more) AS (
+    VALUES (0, 0, 0, []::VARCHAR[]), (0, 2, 1, ['user:']), (0, 3, 2, ['user:', 'assistant:']), (1, 1, 0, []), (1, 2, 1, ['user:']),
+           (1, 3, 2, ['user:', 'assistant:']), (2, 2, 0, []), (2, 3, 1, ['assistant:']), (3, 3, 0, []), (3, 2, 1, ['user:'])
+),
+edits(edit, role, s, t) AS (
+    VALUES ('K', 's', 0, 1), ('K', 'u', 0, 2), ('K', 'u', 1, 2), ('K', 'u', 3, 2), ('K', 'a', 2, 3), ('R', 'user', 0, 2), ('R', 'user', 1, 2),
+           ('R', 'user', 3, 2), ('R', 'assistant', 2, 3), ('D', '', 0, 0), ('D', '', 1, 1), ('D', '', 2, 2), ('D', '', 3, 3)
+),
+ways AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS n, 0 AS state, {'cost': 0, 'audit': '', 'rows': []::VARCHAR[]} AS way
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT w.conv_id, w.n + 1, e.t, min({
+        'cost': w.way.cost + 3 * i.k + CASE e.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN e.edit <> 'D' AND m.fault = 't' THEN 3 ELSE 0 END,
+        'audit': w.way.audit || repeat('I', i.k) || e.edit,
+        'rows': w.way.rows || i.more || CASE e.edit WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [m.role || ':' || m.text] ELSE [e.role || ':' || m.text] END})
+    FROM ways w JOIN marked m ON m.conv_id IS NOT DISTINCT FROM w.conv_id AND m.n = w.n + 1
+    JOIN inserted i ON i.s = w.state
+    JOIN edits e ON e.s = i.t AND (e.edit = 'D' OR (m.fault NOT IN ('b', 'd') AND (e.edit = 'R' OR e.role = left(m.role, 1))))
+    GROUP BY w.conv_id, w.n, e.t
+),
+facts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (WHERE fault = 'b') AS blank, count(*) FILTER (WHERE fault = 'd') AS duplicate,
+           count(*) FILTER (WHERE fault = 't') AS truncated,
+           count(*) FILTER (WHERE before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM marked GROUP BY conv_id
+),
+ended AS (
+    SELECT w.conv_id, min({'cost': w.way.cost + 3 * i.k, 'audit': w.way.audit || repeat('I', i.k), 'rows': w.way.rows || i.more}) AS way
+    FROM ways w JOIN facts f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.n = w.n
+    JOIN inserted i ON i.s = w.state AND (i.t = 3 OR (i.t = 0 AND i.s = 0)) GROUP BY w.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(way.cost, 0) AS BIGINT) AS cost,
+       coalesce(way.audit, '') AS audit, sha256(coalesce(array_to_string(way.rows, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": Query(op1_bpe, None),
     "op2_toxicity": Query(op2_toxicity, None),
@@ -200,4 +311,7 @@ QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": Query(op8_embedding_dedup, OP8_SQL),
     "op9_quality": Query(op9_quality, None),
     "op10_secrets": Query(op10_secrets, None),
+    "op11_pii": Query(op11_pii, None),
+    "op12_hardneg": Query(op12_hardneg, OP12_SQL),
+    "op13_repair": Query(op13_repair, OP13_SQL),
 }
