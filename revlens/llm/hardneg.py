@@ -105,13 +105,19 @@ class _Best:
 
 
 def _cut(rows: DataFrame, size: int, name: str, number: str) -> DataFrame:
-    """Rows in order of falling length, cut into parts of at most ``size``, a part's number as ``number``.
+    """Rows in order of falling length, cut into parts of ``size``, a part's number as ``number``.
 
-    The order ends with the row's own number, so rows alike are many parts too. Written aside.
+    The order ends with the row's own number, so rows alike are many parts too. Written aside; the
+    rows of each range are counted (one number a task), so that parts do not end where ranges do.
     """
     order = ["dim", F.desc("len"), "uid"]
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    return staged(rows.withColumn(number, F.floor(F.col("_at") / size)).drop("_at"), name)
+    rows = staged(rows.withColumn("_range", F.shiftright("_at", 33)), name)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    at = F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)
+    return rows.join(F.broadcast(ranges), "_range").withColumn(number, F.floor(at / size)).drop("_at", "_range", "_before")
 
 
 _ROW = ["uid", "id", "label", "dim", "len", "vec"]
