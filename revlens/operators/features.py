@@ -152,11 +152,8 @@ def prepare_events(events: DataFrame, iso_weekday: bool = False) -> DataFrame:
 
 
 def event_revision() -> Column:
-    """Revision id, else the event id where the event carries no revision at all."""
-    rev = F.col("revision.new").cast("string")
-    return F.coalesce(
-        F.when(F.col("revision").isNull(), F.col("id").cast("string")).otherwise(rev), F.lit("")
-    )
+    """Revision id, else the event id where the event names no new revision."""
+    return F.coalesce(F.col("revision.new").cast("string"), F.col("id").cast("string"), F.lit(""))
 
 
 def raw_predictions(events: DataFrame, now: Column | None = None) -> DataFrame:

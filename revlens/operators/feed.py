@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from revlens.functions import times
 from revlens.functions.numbers import fixed, percent, round_exact
 from revlens.functions.text import missing
-from revlens.session import stage_table
 
 SEARCHED = ("page_title", "comment", "user", "rev_id")
 MAX_PAGE_SIZE = 200
@@ -68,40 +67,122 @@ def _newest_first(df: DataFrame) -> DataFrame:
     return df.orderBy(F.desc("created_at"), F.desc("id"))
 
 
-def feed_page(matching: DataFrame, page: int = 1, page_size: int = 50) -> DataFrame:
+#: Rows of a bucket that a page is cut from; a bucket of more is divided further.
+BUCKET_ROWS = 5_000
+#: Lengths of the stamp's beginnings that divide the feed: day, hour, minute, second, all of it.
+STAMP_LENGTHS = (10, 13, 16, 19, 26)
+_COUNTED = ("wiki", "risk_label", "scored")
+
+
+def feed_directory(predictions: DataFrame, length: int = 13) -> DataFrame:
+    """How many rows of each wiki, band and state of scoring every stretch of time holds.
+
+    ``bucket`` is the beginning of ``created_at``, by default down to the hour. Kept with a generation
+    of the table it tells a page's place without a look at the rows.
+    """
+    bucket = F.substring("created_at", 1, length).alias("bucket")
+    return predictions.groupBy(bucket, *_COUNTED).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _holding(counts: DataFrame, skip: int) -> tuple[str | None, int, int] | None:
+    """The bucket that holds the row at place ``skip``, the rows before it, and its own.
+
+    ``counts`` has one row per bucket (``bucket``, ``n``); NULL, if there is one, is the last.
+    """
+    order = W.orderBy(F.desc_nulls_last("bucket")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = counts.withColumn("upto", F.sum("n").over(order)).filter(F.col("upto") > skip)
+    row = placed.orderBy("upto").select("bucket", (F.col("upto") - F.col("n")).alias("before"), "n").first()
+    return None if row is None else (row["bucket"], row["before"], row["n"])
+
+
+def _in_bucket(name: str, start: str | None, length: int | None) -> Column:
+    """Rows whose text has that beginning, as a range that a scan can skip files by.
+
+    A beginning shorter than ``length`` is the whole text.
+    """
+    if start is None:
+        return F.col(name).isNull()
+    if length is None or len(start) < length:
+        return F.col(name) == start
+    return (F.col(name) >= start) & F.col(name).startswith(start)
+
+
+def _behind(name: str, start: str | None) -> Column:
+    """Rows that stand behind a bucket."""
+    return F.lit(False) if start is None else F.col(name).isNull() | (F.col(name) < start)
+
+
+def _level(matching: DataFrame, name: str, length: int | None, skip: int) -> tuple[str | None, int, int] | None:
+    part = F.col(name) if length is None else F.substring(name, 1, length)
+    return _holding(matching.groupBy(part.alias("bucket")).agg(F.count(F.lit(1)).alias("n")), skip)
+
+
+def page_start(
+    matching: DataFrame, skip: int, directory: DataFrame | None = None, directory_length: int = 13
+) -> tuple[Column, int, int] | None:
+    """Where the row at place ``skip`` is: a condition for all rows from its bucket on, the place of the
+    bucket's first row, the bucket's rows. None if there are no so many rows.
+
+    Rows are counted by the beginnings of their stamps (those of the hour, if a directory has them),
+    then, where a bucket is too large, by longer ones, and under one stamp by beginnings of the id. Each
+    count reads only the rows of the bucket before it.
+    """
+    before, size = 0, BUCKET_ROWS + 1
+    held = rest = F.lit(True)
+    levels: list[int | None] = [*STAMP_LENGTHS, None]
+    counts = directory
+    if counts is not None:
+        levels = [directory_length, *[n for n in STAMP_LENGTHS if n > directory_length], None]
+    while levels and size > BUCKET_ROWS:
+        length = levels.pop(0)
+        if counts is None:
+            found = _level(matching.filter(held), "created_at", length, skip - before)
+        else:
+            found = _holding(counts.groupBy("bucket").agg(F.sum("n_rows").alias("n")), skip)
+            counts = None
+        if found is None:
+            return None
+        start, size, before = found[0], found[2], before + found[1]
+        held = _in_bucket("created_at", start, length)
+        rest = held | _behind("created_at", start)
+        if start is None or length is None or len(start) < length:
+            levels = []  # rows of one stamp
+    stamp, behind, length = held, _behind("created_at", start), 0
+    while size > BUCKET_ROWS:
+        length += 1
+        first, more, size = _level(matching.filter(held), "id", length, skip - before)
+        before += more
+        held = stamp & _in_bucket("id", first, length)
+        rest = held | (stamp & _behind("id", first)) | behind
+        if first is None or len(first) < length:
+            break  # rows of one stamp and one id
+    return rest, before, size
+
+
+def feed_page(
+    matching: DataFrame,
+    page: int = 1,
+    page_size: int = 50,
+    directory: DataFrame | None = None,
+    directory_length: int = 13,
+) -> DataFrame:
     """One page, newest first, rows without a stamp last, ties broken by id.
 
-    The same way at any depth. Only the sort keys are dealt out by range, so a task holds a stretch of
-    the order even where all rows share one stamp, and written. Counts per stretch say which ones the
-    page lies in; the rows of those are numbered, and the page's keys (no more than its rows) fetch the
-    rows themselves. Nothing is skipped row by row. ``feed_after`` is the cheaper way to walk on.
+    The same way at any depth. Counts by stretches of time, from ``directory`` (see ``feed_directory``,
+    filtered like the rows) or from a count of the rows, lead to the bucket that the page begins in;
+    the page is the first rows from there on, a top-k of at most ``BUCKET_ROWS`` and a page. The table
+    is never sorted. Rows of one stamp are divided by their ids; rows alike in both stand in any order.
+    ``feed_after`` is the cheaper way to walk on.
     """
     if page < 1 or not 1 <= page_size <= MAX_PAGE_SIZE:
         raise ValueError("page must be >= 1 and page_size between 1 and 200")
     skip = (page - 1) * page_size
+    found = page_start(matching, skip, directory, directory_length)
+    if found is None:
+        return matching.limit(0)
+    rest, before, _ = found
     order = [F.desc_nulls_last("created_at"), F.desc_nulls_last("id")]
-    keys = matching.groupBy("created_at", "id").agg(F.count(F.lit(1)).alias("_n"))
-    keys = stage_table(
-        keys.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "feed-keys"
-    )
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    stretches = keys.groupBy("_part").agg(F.sum("_n").alias("_rows"))  # one row per task
-    stretches = stretches.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    holding = stretches.filter(
-        (F.col("_before") < skip + page_size) & (F.col("_before") + F.col("_rows") > skip)
-    )
-    upto = W.partitionBy("_part").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
-    chosen = (
-        keys.join(F.broadcast(holding), "_part")
-        .withColumn("_at", F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0)))
-        .filter((F.col("_at") < skip + page_size) & (F.col("_at") + F.col("_n") > skip))
-        .select(F.col("created_at").alias("_c"), F.col("id").alias("_i"), "_at")
-    )
-    repeat = F.row_number().over(W.partitionBy("created_at", "id").orderBy(F.lit(1)))
-    same = F.col("created_at").eqNullSafe(F.col("_c")) & F.col("id").eqNullSafe(F.col("_i"))
-    rows = matching.join(F.broadcast(chosen), same).withColumn("_at", F.col("_at") + repeat - 1)
-    rows = rows.filter(F.col("_at").between(skip, skip + page_size - 1))
-    return rows.orderBy("_at").select(*matching.columns)
+    return matching.filter(rest).orderBy(*order).limit(skip - before + page_size).offset(skip - before)
 
 
 def feed_after(

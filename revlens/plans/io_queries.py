@@ -3,13 +3,17 @@ folder in the raw format, then read, scored or landed like real input."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.operators import features
+from revlens.operators import features, feed
+from revlens.operators.search import build_index, search_index
 from revlens.operators.tables import latest_by_key
 from revlens.plans.jobs import run_compaction
 from revlens.plans.registry import query, table, texts
+from revlens.plans.scalar_queries import SCORE_SQL
 from revlens.plans.views import EDITS_SQL, EVENTS_SQL, edits, raw_events
 from revlens.schemas import HISTORY_COLUMNS, PREDICTION_COLUMNS
 from revlens.session import scratch_path
@@ -17,7 +21,9 @@ from revlens.sinks import tables as sinks
 from revlens.sources import events as event_source
 from revlens.sources import files, history, xml
 from revlens.sources.tables import read_or_build, read_table
+from revlens.streaming.dedup import read_late, start_deduped
 from revlens.streaming.landing import land_events
+from revlens.streaming.pending import start_pending_scorer
 from revlens.streaming.scorer import ScorerPaths, read_archive, read_predictions, start_scorer
 
 # ---- history dump ---------------------------------------------------------------------------
@@ -383,3 +389,109 @@ def _dedup(spark, sf):
     return read_archive(spark, paths.archive).groupBy("wiki").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_events")
     )
+
+
+_HALF_SQL = """, timed AS (
+  SELECT raw.*, coalesce(CAST(dt AS TIMESTAMP), make_timestamp(secs * 1000000)) AS moment FROM raw
+  WHERE type = 'edit' AND namespace = 0),
+middle AS (SELECT min(secs) + (max(secs) - min(secs)) // 2 AS secs FROM raw),
+marks AS (SELECT max(CASE WHEN timed.secs <= middle.secs THEN moment END) - INTERVAL 1 DAY AS first,
+  max(moment) - INTERVAL 1 DAY AS second FROM timed, middle)
+"""
+
+
+@query(
+    "stream_dedup_state",
+    EVENTS_SQL.rstrip()
+    + _HALF_SQL
+    + """SELECT wiki, count(*) FILTER (WHERE timed.secs <= middle.secs OR moment > first) AS n_kept,
+      count(*) FILTER (WHERE moment <= first) + count(*) FILTER (WHERE moment <= second) AS n_late,
+      count(*) FILTER (WHERE timed.secs > middle.secs AND moment <= first) AS n_only_late
+    FROM timed, middle, marks GROUP BY wiki""",
+)
+def _dedup_state(spark, sf):
+    """The first half of the events, then all of them, then all once more, each as a batch.
+
+    Rows kept, rows behind the watermark, and edits that only the late table has.
+    """
+    landing, checkpoint, late = (scratch_path(spark, n) for n in ("landing", "ckpt", "late"))
+    paths = ScorerPaths(scratch_path(spark, "predictions"))
+    events = raw_events(spark, sf)
+    ends = events.agg(F.min("timestamp").alias("low"), F.max("timestamp").alias("high"))
+    middle = ends.select(F.col("low") + F.floor((F.col("high") - F.col("low")) / 2)).scalar()
+    for part in (events.filter(F.col("timestamp") <= middle), events, events):
+        event_source.to_messages(part).write.mode("append").text(landing)
+        start_deduped(
+            spark, landing, checkpoint, paths, late, "1 DAY", trigger_seconds=None, max_files=10_000
+        ).awaitTermination()
+    stored, missed = read_table(spark, paths.predictions), read_table(spark, late)
+    only_late = read_late(missed, stored).groupBy("wiki").agg(F.count(F.lit(1)).alias("n_only_late"))
+    kept = stored.groupBy("wiki").agg(F.count(F.lit(1)).alias("n_kept"))
+    behind = missed.groupBy("wiki").agg(F.count(F.lit(1)).alias("n_late"))
+    rows = kept.join(behind, "wiki", "full").join(only_late, "wiki", "full")
+    return rows.na.fill(0, ["n_kept", "n_late", "n_only_late"])
+
+
+@query(
+    "pending_stream",
+    EDITS_SQL
+    + f""", p AS (SELECT *, CASE WHEN scored = 0 THEN {SCORE_SQL} END AS s FROM edits)
+    SELECT id, round(coalesce(s, risk_score), 6) AS risk_score,
+      CASE WHEN s IS NULL THEN risk_label WHEN s >= 0.20 THEN 'HIGH' WHEN s >= 0.08 THEN 'MEDIUM'
+        ELSE 'LOW' END AS risk_label, CAST(1 AS INTEGER) AS scored, created_at FROM p""",
+)
+def _pending_stream(spark, sf):
+    """Edits stored in two appends, a scoring run after each, and one from the start: all are scored."""
+    stored, scored, checkpoint = (scratch_path(spark, n) for n in ("predictions", "scored", "ckpt"))
+    rows = edits(spark, sf)
+    half = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(2))
+    for batch_id in (0, 1):
+        sinks.append_batch(rows.filter(half == batch_id), stored, "feed", batch_id)
+        start_pending_scorer(spark, stored, scored, checkpoint, trigger_seconds=None).awaitTermination()
+    again = scratch_path(spark, "ckpt")
+    start_pending_scorer(spark, stored, scored, again, trigger_seconds=None).awaitTermination()
+    return read_predictions(spark, stored, scored).select(
+        "id", F.round("risk_score", 6).alias("risk_score"), "risk_label", "scored", "created_at"
+    )
+
+
+# ---- feed over stored tables ----------------------------------------------------------------
+
+_INDEXED = (" UNDID ", "page _5", "zzz-nowhere", "rv", "100%_dé")
+
+
+@query(
+    "feed_search_indexed",
+    EDITS_SQL
+    + """, terms(term, low, wild) AS (VALUES (' UNDID ', 'undid', FALSE), ('page _5', 'page _5', TRUE),
+      ('zzz-nowhere', 'zzz-nowhere', FALSE), ('rv', 'rv', FALSE), ('100%_dé', '100%_dé', FALSE))
+    SELECT term, id, page_title FROM edits, terms WHERE wiki = 'enwiki' AND CASE WHEN wild
+      THEN (page_title ILIKE '%page _5%' OR comment ILIKE '%page _5%' OR "user" ILIKE '%page _5%' OR rev_id ILIKE '%page _5%')
+      ELSE (contains(lower(page_title), low) OR contains(lower(comment), low) OR contains(lower("user"), low) OR contains(rev_id, low)) END""",
+)
+def _search_indexed(spark, sf):
+    """Searches by the trigram index: a word, wildcards, a text no row has, a short one, one of signs."""
+    path = scratch_path(spark, "search")
+    rows = edits(spark, sf)
+    build_index(rows, path, 5_000)
+    found = [
+        search_index(spark, path, rows.schema, term, wildcards=term == "page _5").select(F.lit(term).alias("term"), "id", "page_title")
+        for term in _INDEXED
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "feed_page_directory",
+    EDITS_SQL
+    + """SELECT id, page_title, created_at FROM edits WHERE wiki = 'enwiki' AND scored = 1
+      ORDER BY created_at DESC, id DESC LIMIT 200 OFFSET 400""",
+)
+def _page_directory(spark, sf):
+    """The third page of 200, found by the stored counts of a generation."""
+    path = scratch_path(spark, "directory")
+    rows = edits(spark, sf)
+    sinks.write_table(feed.feed_directory(rows), path)
+    counts = feed.feed_filter(read_table(spark, path), scored_only=True)
+    matching = feed.feed_filter(rows, scored_only=True)
+    return feed.feed_page(matching, 3, 200, counts).select("id", "page_title", "created_at")

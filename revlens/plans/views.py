@@ -144,12 +144,13 @@ edits AS (
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested events: some without old length, without revision, without ISO time, or not edits."""
+    """Nested events: some without old length, without revision, with a revision that names no new one,
+    without ISO time, or not edits."""
     k = F.col("k")
     old = F.when(k % 7 == 3, None).otherwise(F.lit(5000))
     revision = F.struct(
         F.col("event_id").cast("bigint").alias("old"),
-        (F.col("event_id") + 1_000_000).cast("bigint").alias("new"),
+        F.when(k != 51, F.col("event_id") + 1_000_000).cast("bigint").alias("new"),
     )
     dt = F.when(k != 98, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     user = user_name()
@@ -186,7 +187,7 @@ raw AS (
     uname, CASE WHEN event_type = 'error' THEN 'dewiki' ELSE 'enwiki' END AS wiki,
     CASE WHEN k % 7 = 3 THEN NULL ELSE 5000 END AS old_len,
     CAST(5000 + round((value - 100) * 20) AS INTEGER) AS new_len,
-    CASE WHEN k <> 50 THEN 1000000 + event_id END AS new_rev,
+    CASE WHEN k NOT IN (50, 51) THEN 1000000 + event_id END AS new_rev,
     CASE WHEN k <> 98 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS dt,
     date_trunc('second', ts) AS event_time,
     CAST(uname = '' OR regexp_matches(uname, '^([0-9]{1,3}\\.){3}[0-9]{1,3}$')

@@ -98,8 +98,8 @@ def start_scorer(
     """Runs until stopped, or with ``trigger_seconds=None`` until the landed files are used up.
 
     ``dedup`` folds repeats within a batch. Those of other batches stay in the tables and give way in
-    ``read_predictions`` and ``read_archive``, which keep one row per edit; so an event that comes late
-    is never lost behind a watermark, and no state grows.
+    ``read_predictions`` and ``read_archive``, which keep one row per edit. ``dedup.start_deduped``
+    keeps them out of the tables, by a bounded state.
     """
     features = event_features(article_edits(stream_events(spark, landing, max_files)))
     body = score_batch(model, paths, stream_name(checkpoint), bands, dedup)
@@ -119,7 +119,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 def read_predictions(spark: SparkSession, *paths: str) -> DataFrame:
     """Latest row per edit over tables written batch by batch and compacted generations of them.
 
-    Rows of a generation carry no batch id and give way to a batch row of the same time.
+    Rows of a generation carry no batch id and give way to a batch row of the same time; a row without
+    a score gives way to a scored one of its time.
     """
     layout = T.StructType(
         [
@@ -131,9 +132,8 @@ def read_predictions(spark: SparkSession, *paths: str) -> DataFrame:
     rows = spark.read.schema(layout).parquet(paths[0])
     for path in paths[1:]:
         rows = rows.unionByName(spark.read.schema(layout).parquet(path))
-    return latest_by_key(rows, ["id"], [F.desc("created_at"), F.desc("batch_id"), F.desc("stream_id")]).select(
-        *PREDICTION_COLUMNS
-    )
+    newest = [F.desc("created_at"), F.desc("scored"), F.desc("batch_id"), F.desc("stream_id")]
+    return latest_by_key(rows, ["id"], newest).select(*PREDICTION_COLUMNS)
 
 
 def score_pending(predictions: DataFrame, bands: RiskBands = SHIPPED_BANDS) -> DataFrame:

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from revlens.functions.risk import risk_band
 from revlens.operators.features import article_edits, event_features
 from revlens.plans.jobs import run_compaction
-from revlens.schemas import PREDICTION_COLUMNS
-from revlens.sinks.tables import compact_latest
+from revlens.schemas import PREDICTION, PREDICTION_COLUMNS
+from revlens.sinks.tables import append_batch, compact_latest
 from revlens.sources.events import read_events
+from revlens.streaming.dedup import read_late, start_deduped
 from revlens.streaming.landing import land_events
+from revlens.streaming.pending import start_pending_scorer
 from revlens.streaming.scorer import (
     ScorerPaths,
     read_archive,
@@ -173,3 +175,125 @@ def test_pending_rows_get_heuristic_scores(spark):
     assert (first.risk_score, first.risk_label, first.scored) == (pytest.approx(0.70), "HIGH", 1)
     assert (second.risk_score, second.risk_label, second.created_at) == (0.5, "HIGH", "t2")
     assert first.scored_at is not None and second.scored_at is None
+
+
+# ---- one row per edit across batches ---------------------------------------------------------
+
+
+def at(i, second, **changes):
+    return event(i, timestamp=1704110400 + second, meta={"id": str(i)}, **changes)
+
+
+def land_part(tmp_path, name, events):
+    (tmp_path / "feed").mkdir(exist_ok=True)
+    (tmp_path / "feed" / f"{name}.jsonl").write_text("".join(json.dumps(e) + "\n" for e in events))
+
+
+def deduped(spark, tmp_path, delay="10 minutes"):
+    query = start_deduped(
+        spark, str(tmp_path / "feed"), str(tmp_path / "c"), ScorerPaths(str(tmp_path / "p")), str(tmp_path / "late"),
+        delay, trigger_seconds=None, max_files=1,
+    )
+    query.awaitTermination()
+    return query
+
+
+def test_an_edit_of_another_batch_is_not_stored_again(spark, tmp_path):
+    land_part(tmp_path, "a", [at(i, i) for i in range(20)])
+    deduped(spark, tmp_path)
+    land_part(tmp_path, "b", [at(i, i) for i in range(10, 30)] + [at(12, 12)])
+    deduped(spark, tmp_path)
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    assert stored.count() == stored.select("id").distinct().count() == 30
+    assert rows(stored.groupBy("batch_id").count().select("count")) == [(10,), (20,)]
+    assert not (tmp_path / "late").exists()
+
+
+def test_late_events_are_kept_apart(spark, tmp_path):
+    land_part(tmp_path, "a", [at(1, 0), at(2, 3600)])
+    deduped(spark, tmp_path)
+    # behind the watermark: a repeat, and an edit never seen; at its edge: one more
+    land_part(tmp_path, "b", [at(1, 0), at(3, 60), at(4, 3000), at(5, 3001)])
+    deduped(spark, tmp_path)
+    stored, late = spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "late"))
+    assert rows(stored.select("rev_id")) == [("1001",), ("1002",), ("1005",)]
+    assert rows(late.select("id")) == [(1,), (3,), (4,)]
+    assert rows(read_late(late, stored).select("id")) == [(3,), (4,)]
+
+
+def test_no_edit_is_lost_however_files_fall_into_batches(spark, tmp_path):
+    """The same files read in one go: another batch order makes others late, but each edit is somewhere once."""
+    for part, seconds in enumerate([(0, 3600), (60, 3000), (3001, 0), (9000,), (60, 8000, 9001)]):
+        land_part(tmp_path, f"f{part}", [at(s, s) for s in seconds])
+    deduped(spark, tmp_path)
+    stored, late = spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "late"))
+    assert stored.count() == stored.select("id").distinct().count()
+    found = rows(stored.select("rev_id")) + rows(read_late(late, stored).select(F.col("revision.new").cast("string")))
+    assert sorted(found) == [(str(1000 + s),) for s in sorted((0, 60, 3000, 3001, 3600, 8000, 9000, 9001), key=lambda s: str(1000 + s))]
+
+
+def test_state_holds_a_stretch_of_time(spark, tmp_path):
+    """Ten batches of an hour each: the state holds the last ones, not all."""
+    sizes = []
+    for hour in range(10):
+        land_part(tmp_path, f"h{hour}", [at(hour * 100 + i, hour * 3600 + i) for i in range(100)])
+        query = deduped(spark, tmp_path)
+        sizes.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1000
+    assert max(sizes) <= 200
+
+
+def test_events_without_time_are_stored(spark, tmp_path):
+    timeless = event(7, timestamp=None, meta={"id": "7"})
+    land_part(tmp_path, "a", [at(1, 0), timeless])
+    deduped(spark, tmp_path)
+    assert rows(spark.read.parquet(str(tmp_path / "p")).select("rev_id")) == [("1001",), ("1007",)]
+
+
+def test_events_without_a_new_revision_keep_their_own_key(spark, landing, tmp_path):
+    lines = [json.dumps(event(600 + i, revision={"old": 1, "new": None})) for i in range(4)]
+    (tmp_path / "landing" / "batch_9.jsonl").write_text("\n".join(lines) + "\n")
+    paths = run(spark, landing, tmp_path)
+    stored = read_predictions(spark, paths.predictions)
+    assert stored.count() == 45
+    assert rows(stored.filter("rev_id like '60_'").select("rev_id")) == [(str(600 + i),) for i in range(4)]
+
+
+# ---- pending rows ---------------------------------------------------------------------------
+
+
+def pending(spark, ids, scored=0):
+    data = [
+        (i, i, "Page", 0, "10.0.0.1", 1, "rv vandalism", -600.0, "", "enwiki", 0.5 if scored else None, None, scored, f"2024-01-01T00:00:0{n}")
+        for n, i in enumerate(ids)
+    ]
+    return spark.createDataFrame(data, PREDICTION)
+
+
+def test_pending_rows_are_scored_once(spark, tmp_path):
+    stored, target, checkpoint = (str(tmp_path / n) for n in ("stored", "target", "c"))
+
+    def drain(where):
+        query = start_pending_scorer(spark, stored, target, where, trigger_seconds=None)
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+
+    append_batch(pending(spark, ["a", "b"]), stored, "feed", 0)
+    append_batch(pending(spark, ["c"], scored=1), stored, "feed", 1)
+    assert drain(checkpoint) == 2  # the scored row is skipped in the scan
+    append_batch(pending(spark, ["d", "b"]), stored, "feed", 2)
+    assert drain(checkpoint) == 2  # only the new file
+    assert drain(checkpoint) == 0
+    found = read_predictions(spark, stored, target)
+    assert rows(found.select("id", "scored")) == [("a", 1), ("b", 1), ("c", 1), ("d", 1)]
+    assert found.filter("id = 'c'").first().risk_score == 0.5
+    assert found.filter("id = 'a'").first().risk_label == "HIGH"
+    assert found.filter("id = 'a'").first().created_at == "2024-01-01T00:00:00"
+    before = rows(found)
+    drain(str(tmp_path / "c2"))  # all of it once more
+    assert rows(read_predictions(spark, stored, target)) == before
+
+
+def test_pending_scorer_needs_its_own_folder(spark, tmp_path):
+    with pytest.raises(ValueError):
+        start_pending_scorer(spark, str(tmp_path), f"{tmp_path}/", str(tmp_path / "c"))
