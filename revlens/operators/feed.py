@@ -74,14 +74,14 @@ STAMP_LENGTHS = (10, 13, 16, 19, 26)
 _COUNTED = ("wiki", "risk_label", "scored")
 
 
-def feed_directory(predictions: DataFrame, length: int = 13) -> DataFrame:
+def feed_directory(predictions: DataFrame, length: int = 13, more: tuple[str, ...] = ()) -> DataFrame:
     """How many rows of each wiki, band and state of scoring every stretch of time holds.
 
     ``bucket`` is the beginning of ``created_at``, by default down to the hour. Kept with a generation
-    of the table it tells a page's place without a look at the rows.
+    of the table it tells a page's place without a look at the rows. ``more`` columns divide the counts.
     """
     bucket = F.substring("created_at", 1, length).alias("bucket")
-    return predictions.groupBy(bucket, *_COUNTED).agg(F.count(F.lit(1)).alias("n_rows"))
+    return predictions.groupBy(*more, bucket, *_COUNTED).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _holding(counts: DataFrame, skip: int) -> tuple[str | None, int, int] | None:

@@ -17,6 +17,7 @@ from revlens.plans.scalar_queries import SCORE_SQL
 from revlens.plans.views import EDITS_SQL, EVENTS_SQL, edits, raw_events
 from revlens.schemas import HISTORY_COLUMNS, PREDICTION_COLUMNS
 from revlens.session import scratch_path
+from revlens.sinks import generations
 from revlens.sinks import tables as sinks
 from revlens.sources import events as event_source
 from revlens.sources import files, history, xml
@@ -24,7 +25,7 @@ from revlens.sources.tables import read_or_build, read_table
 from revlens.streaming.dedup import read_late, start_deduped
 from revlens.streaming.landing import land_events
 from revlens.streaming.pending import start_pending_scorer
-from revlens.streaming.scorer import ScorerPaths, read_archive, read_predictions, start_scorer
+from revlens.streaming.scorer import ScorerPaths, read_archive, read_predictions, score_pending, start_scorer
 
 # ---- history dump ---------------------------------------------------------------------------
 
@@ -495,3 +496,70 @@ def _page_directory(spark, sf):
     counts = feed.feed_filter(read_table(spark, path), scored_only=True)
     matching = feed.feed_filter(rows, scored_only=True)
     return feed.feed_page(matching, 3, 200, counts).select("id", "page_title", "created_at")
+
+
+def _folded(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Edits in four batches, two folds between them, and pending rows scored in a last batch; the live
+    folder and the generations' root."""
+    live, root = scratch_path(spark, "live"), scratch_path(spark, "generations")
+    kind, rows = generations.predictions_kind(), edits(spark, sf)
+    part = F.pmod(F.crc32(F.col("id").cast("binary")), F.lit(4))
+    for batch_id in range(4):
+        sinks.append_batch(rows.filter(part == batch_id), live, "feed", batch_id)
+        if batch_id in (1, 3):
+            generations.fold(spark, kind, live, root)
+    again = score_pending(rows.filter("scored = 0")).select(*PREDICTION_COLUMNS)
+    sinks.append_batch(again, live, "scorer", 0)
+    return live, root
+
+
+_PENDING_SQL = f"""now_scored AS (SELECT * REPLACE (coalesce(s, risk_score) AS risk_score, CAST(1 AS INTEGER) AS scored,
+    CASE WHEN s IS NULL THEN risk_label WHEN s >= 0.20 THEN 'HIGH' WHEN s >= 0.08 THEN 'MEDIUM' ELSE 'LOW' END AS risk_label)
+  FROM (SELECT *, CASE WHEN scored = 0 THEN {SCORE_SQL} END AS s FROM edits))"""
+
+
+@query(
+    "folded_predictions",
+    EDITS_SQL + f", {_PENDING_SQL} SELECT id, page_title, round(risk_score, 6) AS risk_score, risk_label, scored, created_at FROM now_scored",
+)
+def _folded_predictions(spark, sf):
+    """The current rows of a table of generations and later batches."""
+    live, root = _folded(spark, sf)
+    rows = generations.read_current(spark, generations.predictions_kind(), root, live)
+    return rows.select("id", "page_title", F.round("risk_score", 6).alias("risk_score"), "risk_label", "scored", "created_at")
+
+
+@query(
+    "folded_totals",
+    EDITS_SQL
+    + f""", {_PENDING_SQL} SELECT count(*) AS total_edits, count(*) FILTER (WHERE risk_label = 'HIGH') AS high_risk,
+      count(*) FILTER (WHERE risk_label = 'MEDIUM') AS medium_risk, count(*) FILTER (WHERE risk_label = 'LOW') AS low_risk,
+      count(*) FILTER (WHERE scored = 0) AS unscored, round(coalesce(avg(risk_score), 0), 4) AS avg_risk_score,
+      coalesce(max(created_at), '') AS last_updated FROM now_scored""",
+)
+def _folded_totals(spark, sf):
+    """Totals of the same table from the sums of its generation, corrected for the rows scored since."""
+    live, root = _folded(spark, sf)
+    return generations.feed_stats(generations.current_totals(spark, root, live))
+
+
+@query(
+    "folded_archive",
+    EVENTS_SQL
+    + """SELECT strftime(coalesce(CAST(dt AS TIMESTAMP), make_timestamp(secs * 1000000)), '%Y-%m-%d') AS date,
+      count(*) AS n_rows, count(DISTINCT id) AS n_events FROM raw WHERE type = 'edit' AND namespace = 0 GROUP BY 1""",
+)
+def _folded_archive(spark, sf):
+    """An archive in which every event was written twice, folded twice: one row per event."""
+    live, root = scratch_path(spark, "archive"), scratch_path(spark, "generations")
+    events = features.event_features(features.article_edits(raw_events(spark, sf)))
+    kind = generations.archive_kind(events.schema)
+    half = F.pmod(F.col("id"), F.lit(2))
+    for batch_id, part in enumerate((events.filter(half == 0), events, events.filter(half == 1), events.limit(0))):
+        sinks.archive(part, live, F.col("event_time"), "feed", batch_id)
+        if batch_id:
+            generations.fold(spark, kind, live, root)
+    rows = generations.read_current(spark, kind, root, live)
+    return rows.groupBy(F.date_format("event_time", "yyyy-MM-dd").alias("date")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_events")
+    )

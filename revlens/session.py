@@ -75,6 +75,17 @@ def folder_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return [n for n in names if n.startswith(prefix)]
 
 
+def commit_mark(spark: SparkSession, path: str) -> None:
+    """An empty file, made in one step; an error if it is there already."""
+    found, system = _hadoop_path(spark, path)
+    system.create(found, False).close()
+
+
+def mark_exists(spark: SparkSession, path: str) -> bool:
+    found, system = _hadoop_path(spark, path)
+    return system.exists(found)
+
+
 @contextmanager
 def job_scratch(spark: SparkSession, work_dir: str) -> Iterator[str]:
     """Scratch tables of a job lie under its own folder and go when it ends, also if it fails."""
