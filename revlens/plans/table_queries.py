@@ -12,6 +12,8 @@ from revlens.operators.tfidf import tfidf
 from revlens.plans.registry import query, table, texts
 from revlens.plans.scalar_queries import EXPLAIN_SQL, REASONS_SQL, RISKY_SQL, SCORE_SQL
 from revlens.plans.views import EDITS_SQL, edits, revisions, turns
+from revlens.session import scratch_path
+from revlens.sinks.bucketed import latest_bucketed, write_bucketed
 from revlens.sources.files import size_rows, size_totals
 
 # ---- labels ---------------------------------------------------------------------------------
@@ -578,6 +580,58 @@ def _unexplained(spark, sf):
     return tables.unexplained_edits(rows, _explained(rows)).select("id")
 
 
+@query(
+    "unexplained_edits_not_in",
+    EDITS_SQL
+    + """, x AS (SELECT CASE WHEN part = 1 AND namespace = 1 AND id = (SELECT min(id) FROM edits WHERE namespace = 1) THEN NULL
+        ELSE id END AS id, part FROM edits, (VALUES (0), (1)) parts(part) WHERE namespace = 1)
+    SELECT part, count(*) AS n_rows FROM (SELECT part, e.id FROM edits e, (VALUES (CAST(0 AS INTEGER)), (1)) parts(part)
+      WHERE e.id NOT IN (SELECT id FROM x WHERE x.part = parts.part)) GROUP BY part""",
+)
+def _unexplained_not_in(spark, sf):
+    """As SQL's ``NOT IN``: with a NULL among the explained ids (part 1) nothing is unexplained."""
+    rows = edits(spark, sf)
+    stored = _explained(rows)
+    first = stored.agg(F.min("edit_id")).scalar()
+    holed = stored.withColumn("edit_id", F.when(F.col("edit_id") != first, F.col("edit_id")))
+    left = [
+        tables.unexplained_edits(rows, explained, not_in=True).select(F.lit(part).alias("part"))
+        for part, explained in enumerate((stored, holed))
+    ]
+    return left[0].unionByName(left[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query(
+    "unexplained_edits_bucketed",
+    EDITS_SQL
+    + "SELECT id FROM edits WHERE id NOT IN (SELECT id FROM edits WHERE namespace = 1)",
+)
+def _unexplained_bucketed(spark, sf):
+    """Edits and explanations stored in buckets of the id: joined where they lie."""
+    rows = edits(spark, sf)
+    stored = write_bucketed(rows, scratch_path(spark, "predictions"), "id", 16)
+    explained = write_bucketed(_explained(rows), scratch_path(spark, "explanations"), "edit_id", 16)
+    return tables.unexplained_edits(stored, explained).select("id")
+
+
+@query(
+    "explanation_upsert_bucketed",
+    EDITS_SQL
+    + f""", {REASONS_SQL}
+    SELECT id AS edit_id, {EXPLAIN_SQL} AS explanation,
+      CASE WHEN scored = 1 THEN '2024-02-02 00:00:00' ELSE '2024-02-01 00:00:00' END AS generated_at
+    FROM reasoned""",
+)
+def _explanation_upsert_bucketed(spark, sf):
+    """Explanations appended to buckets, those of scored edits twice; the newest per edit."""
+    rows, path = edits(spark, sf), scratch_path(spark, "explanations")
+    first, second = (F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp") for d in (1, 2))
+    write_bucketed(tables.rule_explanations(rows, first), path, "edit_id", 16)
+    again = tables.rule_explanations(rows.filter(F.col("scored") == 1), second)
+    stored = write_bucketed(again, path, "edit_id", 16, append=True)
+    return latest_bucketed(stored, "edit_id", [F.desc("generated_at"), F.desc("explanation")]).drop("model")
+
+
 @query(
     "explanation_cache",
     EDITS_SQL
