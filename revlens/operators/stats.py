@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.config import REPORT_BANDS, RiskBands
@@ -59,13 +59,25 @@ def split_stats(df: DataFrame, split: str = "split", label: str = "label") -> Da
     )
 
 
-def waterfall(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
-    """Rows left after each successive predicate, all in one pass over the input."""
+def step_counts(steps: Mapping[str, Column]) -> list[Column]:
+    """Aggregates ``c0``, ``c1``, ...: all rows, and those left after each successive predicate."""
     counts = [F.count(F.lit(1)).alias("c0")]
     kept = F.lit(True)
     for i, predicate in enumerate(steps.values(), 1):
         kept = kept & predicate
         counts.append(F.count_if(kept).alias(f"c{i}"))
+    return counts
+
+
+def observed_waterfall(spark: SparkSession, steps: Mapping[str, Column], counts: Mapping[str, int]) -> DataFrame:
+    """The waterfall of counts that were observed on the way of another pass."""
+    rows = [(i, name, counts[f"c{i}"]) for i, name in enumerate(["input", *steps])]
+    return spark.createDataFrame(rows, "step int, name string, n_rows bigint")
+
+
+def waterfall(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
+    """Rows left after each successive predicate, all in one pass over the input."""
+    counts = step_counts(steps)
     rows = [
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("name"), F.col(f"c{i}").alias("n_rows"))
         for i, name in enumerate(["input", *steps])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.operators import features, feed
+from revlens.operators.prefix import first_rows
 from revlens.operators.search import build_index, search_index
 from revlens.operators.tables import latest_by_key
 from revlens.plans.jobs import run_compaction
@@ -21,6 +22,7 @@ from revlens.sinks import generations
 from revlens.sinks import tables as sinks
 from revlens.sources import events as event_source
 from revlens.sources import files, history, xml
+from revlens.sources.sampling import estimate_tags
 from revlens.sources.tables import read_or_build, read_table
 from revlens.streaming.dedup import read_late, start_deduped
 from revlens.streaming.landing import land_events
@@ -162,6 +164,39 @@ def _xml_count(spark, sf):
     return counts.agg(F.sum("revisions").alias("revisions"))
 
 
+@query(
+    "xml_revision_estimate",
+    _DUMP_SQL + "SELECT count(*) AS estimate, CAST(0 AS DOUBLE) AS standard_error FROM revs",
+)
+def _xml_estimate(spark, sf):
+    """The estimate from all splits is the count, without an error; tests read some of them."""
+    return estimate_tags(spark, write_dump(spark, sf), 1_000_000).select("estimate", "standard_error")
+
+
+@query("row_cap", "SELECT least(count(*), 7000) AS n_rows, least(count(*), 7000) AS n_ids FROM events")
+def _row_cap(spark, sf):
+    """A capped run: that many rows, each once."""
+    rows = first_rows(table(spark, sf, "events").select("event_id"), 7000)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"))
+
+
+@query(
+    "landed_up_to",
+    EVENTS_SQL
+    + """SELECT least(count(*), 500) AS n_rows, least(count(*), 500) AS n_ids FROM raw
+      WHERE type = 'edit' AND wiki = 'enwiki' AND namespace = 0""",
+)
+def _landed_up_to(spark, sf):
+    """The landing stream told to stop after 500 events, over several batches."""
+    source, target = land(spark, sf), scratch_path(spark, "landed")
+    land_events(
+        spark.readStream.option("maxFilesPerTrigger", 1).text(source), target, scratch_path(spark, "ckpt"),
+        flush_seconds=None, max_events=500,
+    ).awaitTermination()
+    landed = event_source.read_events(spark, target)
+    return landed.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
+
+
 @query(
     "xml_revision_features",
     _DUMP_SQL

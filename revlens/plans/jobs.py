@@ -8,7 +8,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.config import HISTORY, WEAK, JobConfig, TrainConfig
@@ -24,6 +24,7 @@ from revlens.operators.features import (
     revision_features,
 )
 from revlens.operators.labeling import apply_weak_labels
+from revlens.operators.prefix import first_rows
 from revlens.session import drop_folder, folder_names, job_scratch, pin_utc, stage_table
 from revlens.sinks.documents import model_manifest, read_document, write_document
 from revlens.sinks.tables import compact_latest, write_revisions, write_table
@@ -71,8 +72,12 @@ def _run_batch(spark: SparkSession, cfg: JobConfig) -> JobResult:
 
 def labeled_history(spark: SparkSession, cfg: JobConfig) -> DataFrame:
     raw = read_history(spark, list(cfg.history_paths))
+    return _labeled(raw, cfg)
+
+
+def _labeled(raw: DataFrame, cfg: JobConfig) -> DataFrame:
     rows = history_features(history_revisions(raw))
-    return rows if cfg.row_cap is None else rows.limit(cfg.row_cap)
+    return rows if cfg.row_cap is None else first_rows(rows, cfg.row_cap)
 
 
 def run_history(
@@ -98,9 +103,13 @@ def _run_history(spark: SparkSession, cfg: JobConfig, predictions: DataFrame | N
     same_table = _recorded(spark, cfg, "labeled_history") == _as_json(table_inputs)
     same_model = same_table and _recorded(spark, cfg, "model") == _as_json(model_inputs)
     if not same_table:
-        raw = read_history(spark, list(cfg.history_paths))
-        write_table(stats.waterfall(raw, history_steps()), cfg.path("waterfall"))
-        write_table(labeled_history(spark, cfg), cfg.path("labeled_history"))
+        # The steps are counted by the pass that writes the rows, so the dump is read once. In a session
+        # of its own: one that has observed something can no longer be sent to tasks, as evaluators do.
+        counts, steps = Observation("history-steps"), history_steps()
+        reader = pin_utc(spark.newSession())
+        raw = read_history(reader, list(cfg.history_paths)).observe(counts, *stats.step_counts(steps))
+        write_table(_labeled(raw, cfg), cfg.path("labeled_history"))
+        write_table(stats.observed_waterfall(spark, steps, counts.get), cfg.path("waterfall"))
         _record(spark, cfg, "labeled_history", table_inputs)
     labeled = read_table(spark, cfg.path("labeled_history"))
     result.counts["steps"] = {
