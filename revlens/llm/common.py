@@ -110,10 +110,10 @@ class Memo(dict, Generic[K, V]):
         if self._make_many is None:
             return list(map(self.__getitem__, keys))
         keys = list(keys)
-        found = [self.get(k) for k in keys]
+        found = list(map(self.get, keys))
         missing = [i for i, v in enumerate(found) if v is None]
-        unknown = [i for i in missing if keys[i] not in self._old]
-        made = dict(zip((keys[i] for i in unknown), self._make_many([keys[i] for i in unknown])))
+        unknown = [k for k in [keys[i] for i in missing] if k not in self._old]
+        made = dict(zip(unknown, self._make_many(unknown)))
         if len(self) + len(missing) > self._limit:
             older, self._old = self._old, dict(self)
             self.clear()

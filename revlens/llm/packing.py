@@ -19,10 +19,14 @@ from pyspark.sql import functions as F
 from revlens.llm.common import Memo, send_if_small, staged
 from revlens.llm.words import encoded, release
 
+#: How a byte-level vocabulary writes a space, and bare words that are encoded as one text.
+_SPACE, _JOINED = "\u0120", 1024
 #: Sequences in a window of the mixture.
 WINDOW_SEQUENCES = 64
-#: Sources with a queue of their own; more are dealt to this many queues by a hash of the name.
-MAX_QUEUES = 4096
+#: Queues that share the sources without a target and with less than a token a window.
+TAIL_QUEUES = 1024
+#: Numbers that the windows a task remembers hold together.
+_REMEMBERED = 1 << 22
 
 
 class JsonCodec:
@@ -37,13 +41,31 @@ class JsonCodec:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._after_space: Memo[str, bytes] = Memo(
-            lambda w: self._plain(" " + w), 250_000, lambda words: self._all([" " + w for w in words])
-        )
-
-    def _all(self, texts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        self._after_space: Memo[str, bytes] = Memo(lambda w: self._plain(" " + w), 250_000, self._all)
+        known = self._tokenizer.get_vocab()
+        self._opens = np.zeros(max(known.values(), default=-1) + 1, bool)
+        self._opens[[i for token, i in known.items() if token.startswith(_SPACE)]] = True
+
+    def _all(self, words: list[str]) -> list[bytes]:
+        """The ids of " " + w for every word; many bare words are one text, cut again before each space."""
+        out: list[bytes] = [b""] * len(words)
+        bare = [i for i, w in enumerate(words) if w and w == w.strip()]
+        for at in range(0, len(bare), _JOINED):
+            part = bare[at : at + _JOINED]
+            for i, ids in zip(part, self._in_one([words[i] for i in part])):
+                out[i] = ids
+        for i in set(range(len(words))).difference(bare):
+            out[i] = self._plain(" " + words[i])
+        return out
+
+    def _in_one(self, words: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)
+        ids = np.array(found[0].ids, np.uint32)
+        cuts = np.flatnonzero(self._opens[ids])
+        if len(cuts) != len(words):  # a tokenizer that splits otherwise
+            return [self._plain(" " + w) for w in words]
+        data, ends = ids.tobytes(), [*(4 * cuts).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
 
     def _plain(self, text: str) -> bytes:
         return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -145,7 +167,7 @@ def places(
             if end > at:
                 key = (phase.start, nth)
                 if key not in known:
-                    if len(known) > 4096:
+                    if len(known) * len(phase.queues) > _REMEMBERED:
                         known.clear()
                     known[key] = phase.window(nth, window)
                 low, stream = known[key]
@@ -195,8 +217,6 @@ def tokens(
         F.coalesce(F.col(queue_col).cast("string"), F.lit("")).alias("queue"),
         F.col(text_col).cast("string").alias("text"),
     )
-    if named.select("queue").distinct().limit(MAX_QUEUES + 1).count() > MAX_QUEUES:
-        named = named.withColumn("queue", F.pmod(F.xxhash64("queue"), F.lit(MAX_QUEUES)).cast("string"))
     kind = docs.schema[id_col].dataType.simpleString()
     return named.mapInArrow(run, f"doc_id {kind}, queue string, part int, earlier bigint, n bigint, ids binary")
 
@@ -216,7 +236,9 @@ def pack(
 
     Every id of every row lies in exactly one piece; all sequences but the last are full. Sources
     are queues; windows of ``WINDOW_SEQUENCES`` sequences are filled by a deficit round-robin to the
-    ``targets`` (see ``phases``). A NULL text is empty and still has its end id; NULL and empty
+    ``targets`` (see ``phases``). Every source with a target, or with a token or more of its own share
+    in a window, is a queue of its own, at most one per token of a window and target; the others, whose
+    turn comes less often than once a window, take turns in ``TAIL_QUEUES`` queues. A NULL text is empty and still has its end id; NULL and empty
     source names are one queue; repeated rows are packed each. No rows, no pieces. Only the three
     named columns are read.
 
@@ -226,13 +248,15 @@ def pack(
     is gathered anywhere, and deficits carry over windows and tasks alike.
     """
     coded = staged(tokens(docs, tokenizer_path, end_id, id_col, text_col, queue_col), "tokens")
-    shares = staged(coded.groupBy("part", "queue").agg(F.sum("n").alias("n")), "queue-shares")
-    totals = {r["queue"]: r["n"] for r in shares.groupBy("queue").agg(F.sum("n").alias("n")).collect()}  # MAX_QUEUES rows
+    window = length * WINDOW_SEQUENCES
+    shares = _shared_queues(coded, targets, window)
+    totals = {r["shared"]: r["n"] for r in shares.groupBy("shared").agg(F.sum("n").alias("n")).collect()}  # bounded, see above
+    if targets is not None:
+        targets = {_OWN + q: share for q, share in targets.items()}
     course: dict[str, list[tuple[Phase, int]]] = {q: [] for q in totals}
     for phase in phases(totals, targets):
         for i, queue in enumerate(phase.queues):
             course[queue].append((phase, i))
-    window = length * WINDOW_SEQUENCES
     bases = _bases(shares)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,7 +293,7 @@ def pack(
     kind = coded.schema["doc_id"].dataType.simpleString()
     return (
         coded.join(bases, ["part", "queue"])
-        .select("doc_id", "queue", "n", "ids", (F.col("base") + F.col("earlier")).alias("begin"))
+        .select("doc_id", F.col("shared").alias("queue"), "n", "ids", (F.col("base") + F.col("earlier")).alias("begin"))
         .mapInArrow(
             run,
             f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -278,18 +302,35 @@ def pack(
     )
 
 
+_OWN, _TAIL = "=", "~"
+
+
+def _shared_queues(coded: DataFrame, targets: Mapping[str, float] | None, window: int) -> DataFrame:
+    """Tokens of each task and source, and ``shared``, the queue that the source is or is part of."""
+    shares = staged(coded.groupBy("part", "queue").agg(F.sum("n").alias("n")), "source-shares")
+    sources = shares.groupBy("queue").agg(F.sum("n").alias("total"))
+    all_tokens = shares.agg(F.sum("n")).first()[0] or 0
+    own = F.col("total") * window >= F.lit(all_tokens)
+    if targets:
+        own = own | F.col("queue").isin(*targets)
+    tail = F.concat(F.lit(_TAIL), F.pmod(F.xxhash64("queue"), F.lit(TAIL_QUEUES)).cast("string"))
+    names = sources.select("queue", F.when(own, F.concat(F.lit(_OWN), "queue")).otherwise(tail).alias("shared"))
+    return staged(shares.join(names, "queue"), "queue-shares")
+
+
 def _bases(shares: DataFrame) -> DataFrame:
-    """Tokens of each queue in the tasks before each one, from a row per task and queue.
+    """Tokens of each queue before each task's part of a source, from a row per task and source.
 
-    Running sums in two steps, so that a queue's rows are added up in blocks of 1024 tasks.
+    A queue's sources stand by task, then by name. Running sums in two steps, so that a queue's rows
+    are added up in blocks of 1024 tasks.
     """
     from pyspark.sql import Window
 
     blocked = shares.withColumn("block", F.floor(F.col("part") / 1024))
-    blocks = blocked.groupBy("queue", "block").agg(F.sum("n").alias("n"))
-    before = Window.partitionBy("queue").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("queue", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("block_base"))
-    within = Window.partitionBy("queue", "block").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = blocked.withColumn("inner_base", F.coalesce(F.sum("n").over(within), F.lit(0))).join(blocks, ["queue", "block"])
-    bases = staged(bases.select("part", "queue", (F.col("inner_base") + F.col("block_base")).alias("base")), "queue-bases")
-    return send_if_small(bases, bases.count(), 64)
+    blocks = blocked.groupBy("shared", "block").agg(F.sum("n").alias("n"))
+    before = Window.partitionBy("shared").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("shared", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("block_base"))
+    within = Window.partitionBy("shared", "block").orderBy("part", "queue").rowsBetween(Window.unboundedPreceding, -1)
+    bases = blocked.withColumn("inner_base", F.coalesce(F.sum("n").over(within), F.lit(0))).join(blocks, ["shared", "block"])
+    bases = staged(bases.select("part", "queue", "shared", (F.col("inner_base") + F.col("block_base")).alias("base")), "queue-bases")
+    return send_if_small(bases, bases.count(), 96)

@@ -153,6 +153,37 @@ def test_pieces_of_odd_rows(spark, odd):
     assert packing.pack(odd.limit(0), JSON).count() == 0
 
 
+def test_targets_hold_beside_thousands_of_sources(spark, monkeypatch):
+    """Sources with a target keep their queues; small ones take turns behind them, every token once."""
+    monkeypatch.setattr(packing, "TAIL_QUEUES", 16)
+    rows = [(i, "tiny text", f"s{i % 5000}") for i in range(10_000)]
+    rows += [(100_000 + i, "word " * 400, "a" if i % 2 else "b") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    pieces = packing.pack(docs, JSON, {"a": 3, "b": 1}, length=64).select("doc_id", "length", "sequence_id", "offset").collect()
+    source = {i: s for i, _, s in rows}
+    taken = collections.defaultdict(collections.Counter)
+    for p in pieces:
+        taken[p.sequence_id // packing.WINDOW_SEQUENCES][source[p.doc_id]] += p.length
+    window = 64 * packing.WINDOW_SEQUENCES
+    for n in range(8):  # "a" lasts about ten windows
+        assert abs(taken[n]["a"] / window - 0.75) < 0.01 and abs(taken[n]["b"] / window - 0.25) < 0.01
+    tokenizer = Tokenizer.from_file(JSON)
+    sizes = {t: len(tokenizer.encode(t).ids) + 1 for t in ("tiny text", "word " * 400)}
+    assert sum(p.length for p in pieces) == sum(sizes[t] for _, t, _ in rows)
+    places = sorted((p.sequence_id * 64 + p.offset, p.length) for p in pieces)
+    assert all(a + n == b for (a, n), (b, _) in zip(places, places[1:]))
+
+
+def test_words_encoded_together_are_those_encoded_alone():
+    codec, tokenizer = packing.codec(JSON), Tokenizer.from_file(JSON)
+    tokenizer.encode_special_tokens = True
+    rng = random.Random(7)
+    words = ["".join(rng.choice(PIECES).strip(" ") for _ in range(rng.randint(0, 6))) for _ in range(4000)]
+    words += ["", "<|endoftext|>", "don't", "a\nb", "\n", "x\x85", "中文", "'s", "\u00a0x"]
+    wanted = [np.array(tokenizer.encode(" " + w, add_special_tokens=False).ids, "<u4").tobytes() for w in words]
+    assert codec._all(words) == wanted
+
+
 # ---- line dedup
 
 
