@@ -111,16 +111,15 @@ class Memo(dict, Generic[K, V]):
             return list(map(self.__getitem__, keys))
         keys = list(keys)
         found = list(map(self.get, keys))
-        missing = [i for i, v in enumerate(found) if v is None]
-        unknown = [k for k in [keys[i] for i in missing] if k not in self._old]
-        made = dict(zip(unknown, self._make_many(unknown)))
-        if len(self) + len(missing) > self._limit:
-            older, self._old = self._old, dict(self)
+        missing = [k for k, v in zip(keys, found) if v is None]
+        if not missing:
+            return found
+        older = list(map(self._old.get, missing))
+        unknown = [k for k, v in zip(missing, older) if v is None]
+        fresh = {k: v for k, v in zip(missing, older) if v is not None}
+        fresh.update(zip(unknown, self._make_many(unknown)))
+        if len(self) + len(fresh) > self._limit:
+            self._old = dict(self)
             self.clear()
-        else:
-            older = self._old
-        for i in missing:
-            key = keys[i]
-            value = made.get(key)
-            found[i] = self[key] = older[key] if value is None else value
-        return found
+        self.update(fresh)
+        return [fresh[k] if v is None else v for k, v in zip(keys, found)]

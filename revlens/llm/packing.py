@@ -41,7 +41,7 @@ class JsonCodec:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._after_space: Memo[str, bytes] = Memo(lambda w: self._plain(" " + w), 250_000, self._all)
+        self._after_space: Memo[str, bytes] = Memo(lambda w: self._plain(" " + w), 350_000, self._all)
         known = self._tokenizer.get_vocab()
         self._opens = np.zeros(max(known.values(), default=-1) + 1, bool)
         self._opens[[i for token, i in known.items() if token.startswith(_SPACE)]] = True
@@ -192,13 +192,13 @@ def tokens(
         for batch in batches:
             ids, counts, earlier = [], [], []
             queues = batch.column("queue").to_pylist()
+            narrow, wide = np.array([end_id], "<u4").astype("<u2").tobytes(), np.array([end_id], "<u4").tobytes()
             for queue, found in zip(queues, own.encode_all(batch.column("text"))):
-                found = np.append(found, np.uint32(end_id))
-                small = found.max() < 1 << 16
-                ids.append(found.astype("<u2" if small else "<u4").tobytes())
-                counts.append(len(found))
+                small = end_id < 1 << 16 and (not len(found) or found.max() < 1 << 16)
+                ids.append(found.astype("<u2").tobytes() + narrow if small else found.tobytes() + wide)
+                counts.append(len(found) + 1)
                 earlier.append(running.get(queue, 0))
-                running[queue] = earlier[-1] + len(found)
+                running[queue] = earlier[-1] + counts[-1]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
