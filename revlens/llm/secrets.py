@@ -32,7 +32,7 @@ _PATTERNS = (
     # the password of an address
     "(://[^\\s/:@\"'<>]*+:)([^\\s/\"'<>]+)(?=@)",
     # a private key, or its header where the end is missing
-    "()(-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:[^-]*+(?:-[^-]++){0,64}-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)?)",
+    "()(-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----)?)",
     # a run with a digit, of 16 or, behind "=", of 8; letters whose case changes often; "=" ends it as padding only
     f"()(?<!{_RUN})((?:(?=[A-Za-z_+/-]*[0-9])(?:{_RUN}{{16,}}|(?<==){_RUN}{{8,}})|(?=(?:[A-Za-z_+/-]*?[a-z][A-Z]){{3}}){_RUN}{{16,}})"
     "(?:={1,3}(?![A-Za-z0-9_+/=-]))?)",
@@ -106,7 +106,10 @@ def with_features(found: DataFrame, dictionary: list[str]) -> DataFrame:
 
 
 def dictionary_of(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The ``DICTIONARY`` most frequent lower-case words of all texts; counted within tasks first."""
+    """The ``DICTIONARY`` most frequent lower-case words of all texts; counted within tasks first.
+
+    They are written before they are read, so the driver merges no task's own list.
+    """
     rows = (
         docs.select(F.explode(F.split(text_col, "\\s+")).alias("w"))
         .where(F.length("w").between(3, 12) & F.col("w").rlike("^[a-z]+$"))
@@ -115,7 +118,7 @@ def dictionary_of(docs: DataFrame, text_col: str = "text") -> list[str]:
         .orderBy(F.desc("count"), "w")
         .limit(DICTIONARY)
     )
-    return [r["w"] for r in rows.collect()]
+    return [r["w"] for r in staged(rows, "dictionary").orderBy(F.desc("count"), "w").collect()]
 
 
 def labelled_findings(spark: SparkSession, dictionary: list[str]) -> DataFrame:
@@ -126,8 +129,12 @@ def labelled_findings(spark: SparkSession, dictionary: list[str]) -> DataFrame:
     a scan sees.
     """
     words = F.split(F.lit(" ".join(dictionary or ["the", "and", "value", "line"])), " ")
+    drawn = (*range(1, 10), 40)
+
+    def word(n: int) -> Column:  # drawn once per row, below
+        return F.col(f"word{n}")
 
-    def word(n: int) -> Column:
+    def draw(n: int) -> Column:
         return F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(n)), F.size(words)) + 1).cast("int"))
 
     def digest(n: int) -> Column:
@@ -245,20 +252,26 @@ def labelled_findings(spark: SparkSession, dictionary: list[str]) -> DataFrame:
         (0, neutral, none, F.concat_ws(".", F.concat(word(4), F.initcap(word(5))), F.concat(word(6), F.initcap(word(7))), F.lit("java")), none),
         (0, neutral, none, F.concat(word(4), F.lit("-"), number(58, 8), F.lit("."), word(5), word(6)), none),
     ]
-    rows = spark.range(0, FIT_ROWS, 1, 1)
-    made = [
-        rows.select(
-            F.lit(label).alias("label"),
-            run.alias("planted"),
-            F.concat(F.concat_ws(" ", *prev), F.lit(" "), before).alias("lead"),
-            F.concat(behind, F.lit(" "), word(40)).alias("rest"),
-            F.when(F.lit(label == 0) & (F.col("id") % 10 == 0), F.lit("tests/fixtures/example")).otherwise(F.lit("src")).alias("path"),
-        )
-        for label, prev, before, run, behind in kinds
-    ]
-    texts = staged(
-        reduce(DataFrame.unionAll, made).select("*", F.concat("lead", "planted", "rest").alias("text")).coalesce(4), "labelled-texts"
+    # one frame of (kind, row): sixty frames of one kind each cost the driver hundreds of MB to plan
+    rows = spark.range(0, FIT_ROWS * len(kinds), 1, 4)
+    rows = rows.select(F.floor(F.col("id") / FIT_ROWS).alias("kind"), (F.col("id") % FIT_ROWS).alias("id"))
+    rows = rows.select("*", *[draw(n).alias(f"word{n}") for n in drawn])
+
+    def of_kind(values: list[Column]) -> Column:
+        chosen = F.when(F.col("kind") == 0, values[0])
+        for kind, value in enumerate(values[1:], 1):
+            chosen = chosen.when(F.col("kind") == kind, value)
+        return chosen
+
+    label = F.get(F.array(*[F.lit(k[0]) for k in kinds]), F.col("kind").cast("int"))
+    made = rows.select(
+        label.alias("label"),
+        of_kind([run for *_, run, _ in kinds]).alias("planted"),
+        F.concat(of_kind([F.concat_ws(" ", *prev) for _, prev, *_ in kinds]), F.lit(" "), of_kind([k[2] for k in kinds])).alias("lead"),
+        F.concat(of_kind([k[4] for k in kinds]), F.lit(" "), word(40)).alias("rest"),
+        F.when((label == 0) & (F.col("id") % 10 == 0), F.lit("tests/fixtures/example")).otherwise(F.lit("src")).alias("path"),
     )
+    texts = staged(made.select("*", F.concat("lead", "planted", "rest").alias("text")), "labelled-texts")
     meets = (F.col("start") < F.length("k_lead") + F.length("k_planted")) & (F.col("start") + F.length("run") > F.length("k_lead"))
     return candidates(texts, ["label", "planted", "lead"], "text", "path").where(meets).select(
         F.col("k_label").alias("label"), "prev", "before", "run", "behind", "next", "path"
