@@ -1,5 +1,5 @@
-"""Training and model scoring over the supplied tables. The fit itself is iterative; its SQL twins say
-what must hold of the stages, the split and the scores."""
+"""Training and model scoring over the supplied tables. SQL computes what the stages learn, the split and
+the rows kept; the fit itself is iterative, and its scores are held against SQL in tests."""
 
 from __future__ import annotations
 
@@ -7,10 +7,10 @@ from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revlens.config import HISTORY, SHIPPED_BANDS, WEAK, RiskBands
+from revlens.config import HISTORY, WEAK
 from revlens.functions.risk import risk_band
 from revlens.functions.text import clean_text
 from revlens.functions.times import day_of_week, hour_of_day
@@ -62,11 +62,6 @@ _LABELED_SQL = """WITH cleaned AS (
 """
 
 
-def _band_agrees(score: Column, label: Column, bands: RiskBands = SHIPPED_BANDS) -> Column:
-    wanted = F.when(score >= bands.high, "HIGH").when(score >= bands.medium, "MEDIUM").otherwise("LOW")
-    return label == wanted
-
-
 @query(
     "stage_token_counts",
     _LABELED_SQL
@@ -87,79 +82,83 @@ def _stage_tokens(spark, sf):
     )
 
 
+_M = "4294967296"
+_C1, _C2, _C3, _C4 = "3432918353", "461845907", "2246822507", "3266489909"
+
+
+def _rotated(x: str, by: int) -> str:
+    return f"(({x}) * {1 << by} % {_M} + ({x}) // {1 << 32 - by})"
+
+
+# Hashed bucket of every token, by 32-bit Murmur3 with seed 42 over its bytes, all of them ASCII here;
+# then counts per document and bucket.
+_HASHED_SQL = f"""{_LABELED_SQL.rstrip()},
+tokens AS (
+  SELECT revision_id, 'comment' AS stage, 256 AS buckets, unnest(regexp_split_to_array(comment_clean, '\\s+')) AS token FROM cleaned
+  UNION ALL SELECT revision_id, 'title', 128, unnest(regexp_split_to_array(title_clean, '\\s+')) FROM cleaned),
+counted AS (SELECT revision_id, stage, buckets, token, CAST(count(*) AS DOUBLE) AS n FROM tokens WHERE length(token) >= 2 GROUP BY ALL),
+bytes AS (SELECT token, list_transform(string_split(token, ''), lambda c: CAST(ascii(c) AS UBIGINT)) AS b
+  FROM (SELECT DISTINCT token FROM counted)),
+pieces AS (SELECT token, len(b) AS size,
+    list_transform(range(len(b) // 4), lambda i: b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216) AS ks,
+    coalesce(list_sum(list_transform(range(len(b) % 4), lambda i: CAST(b[len(b) - len(b) % 4 + i + 1] * CAST(pow(256, i) AS UBIGINT) AS UBIGINT))), 0) AS rest
+  FROM bytes),
+multiplied AS (SELECT token, size, list_transform(ks, lambda k: CAST(k AS UBIGINT) * {_C1} % {_M}) AS ks, CAST(rest AS UBIGINT) * {_C1} % {_M} AS rest FROM pieces),
+mixed AS (SELECT token, size, list_transform(ks, lambda k: {_rotated("k", 15)} * {_C2} % {_M}) AS ks, {_rotated("rest", 15)} * {_C2} % {_M} AS rest FROM multiplied),
+body AS (SELECT token, xor(CAST(xor(CAST(list_reduce(list_prepend(CAST(42 AS UBIGINT), ks),
+    lambda h, k: CAST(({_rotated("xor(h, k)", 13)} * 5 + 3864292196) % {_M} AS UBIGINT)) AS UBIGINT), CAST(rest AS UBIGINT)) AS UBIGINT), CAST(size AS UBIGINT)) AS h FROM mixed),
+first AS (SELECT token, xor(h, h // 65536) * {_C3} % {_M} AS h FROM body),
+second AS (SELECT token, xor(h, h // 8192) * {_C4} % {_M} AS h FROM first),
+tf AS (SELECT revision_id, stage, CAST(xor(h, h // 65536) % buckets AS INTEGER) AS bucket, sum(n) AS tf
+  FROM counted JOIN second USING (token) GROUP BY ALL),
+n AS (SELECT count(*) AS n_docs FROM cleaned),
+learned AS (SELECT stage, bucket, n_docs, count(*) AS df,
+    CASE WHEN count(*) >= 2 THEN ln((n_docs + 1) / (count(*) + 1)) ELSE 0 END AS idf FROM tf, n GROUP BY stage, bucket, n_docs)
+"""
+
+
 @query(
     "stage_idf",
-    _LABELED_SQL
-    + """, n AS (SELECT count(*) AS n_docs FROM cleaned)
-    SELECT 'comment' AS stage, n_docs, CAST(256 AS INTEGER) AS buckets, TRUE AS idf_as_defined, TRUE AS scaled FROM n
-    UNION ALL SELECT 'title', n_docs, CAST(128 AS INTEGER), TRUE, TRUE FROM n""",
+    _HASHED_SQL
+    + """SELECT l.stage, l.bucket, l.n_docs, l.df, round(l.idf, 9) AS idf, round(sqrt(greatest(0,
+        (sum(tf * tf) - sum(tf) * sum(tf) / l.n_docs) / (l.n_docs - 1))) * l.idf, 6) AS deviation
+    FROM tf JOIN learned l ON tf.stage = l.stage AND tf.bucket = l.bucket GROUP BY l.stage, l.bucket, l.n_docs, l.df, l.idf""",
 )
 def _stage_idf(spark, sf):
-    """The fitted stages against their definition, recomputed from the hashed counts: the inverse
-    document frequency is ln((n + 1) / (df + 1)), or 0 below the least df, and the scaler divides by
-    the sample deviation."""
+    """What the fitted stages learned: documents and inverse document frequency of every hashed bucket,
+    and the deviation that the scaler divides its feature by."""
     hashed, _ = hashed_rows(labeled_documents(spark, sf), "revision_id", WEAK)
-    hashed = stage_table(hashed, "hashed")
-    fitted = Pipeline(stages=fitted_stages(WEAK)).fit(hashed)
-    transformed = fitted.transform(hashed)
-    parts = []
-    offset = 0
+    fitted = Pipeline(stages=fitted_stages(WEAK)).fit(stage_table(hashed, "hashed"))
+    deviations = [float(x) for x in fitted.stages[3].std]
+    learned, offset = [], 0
     for name, stage in (("comment", fitted.stages[0]), ("title", fitted.stages[1])):
-        known = F.array(*[F.lit(float(x)) for x in stage.idf.toArray()])  # one number per bucket
-        width = len(stage.idf)
-        n = F.lit(float(stage.numDocs))
-        buckets = hashed.select(F.posexplode(vector_to_array(f"{name}_tf")).alias("b", "tf"))
-        df = buckets.groupBy("b").agg(F.count_if(F.col("tf") > 0).cast("double").alias("df"))
-        wanted = F.when(F.col("df") >= WEAK.min_doc_freq, F.log((n + 1) / (F.col("df") + 1))).otherwise(0.0)
-        as_defined = df.agg(F.bool_and(F.abs(wanted - F.get(known, F.col("b"))) < 1e-9).alias("idf_as_defined"))
-        raw, scaled = vector_to_array("raw_features"), vector_to_array("features")
-        pairs = transformed.select(
-            F.explode(F.arrays_zip(
-                F.sequence(F.lit(offset), F.lit(offset + width - 1)).alias("i"),
-                F.slice(raw, offset + 1, width).alias("raw"), F.slice(scaled, offset + 1, width).alias("scaled"),
-            )).alias("x")
-        ).select("x.*")
-        spread = pairs.groupBy("i").agg(
-            F.stddev_samp("raw").alias("sd"), F.max(F.abs("raw")).alias("top"), F.max(F.abs("scaled")).alias("s")
-        )
-        even = F.when(F.col("sd") == 0, F.col("s") == 0).otherwise(
-            F.abs(F.col("top") / F.col("sd") - F.col("s")) <= 1e-6 * (1 + F.col("s"))
-        )
-        parts.append(
-            as_defined.crossJoin(spread.agg(F.bool_and(even).alias("scaled"))).select(
-                F.lit(name).alias("stage"), F.lit(int(stage.numDocs)).cast("long").alias("n_docs"),
-                F.lit(width).alias("buckets"), "idf_as_defined", "scaled",
-            )
-        )
-        offset += width
-    return parts[0].unionAll(parts[1])
+        for bucket, (idf, df) in enumerate(zip(stage.idf.toArray(), stage.docFreq)):
+            if df:
+                learned.append((name, bucket, int(stage.numDocs), int(df), round(float(idf), 9), round(deviations[offset + bucket], 6)))
+        offset += len(stage.idf)
+    # a row per bucket, a few hundred whatever the documents
+    return spark.createDataFrame(learned, "stage string, bucket int, n_docs long, df long, idf double, deviation double")
 
 
-@query(
-    "logreg_scores",
-    _LABELED_SQL
-    + """SELECT revision_id, label, TRUE AS is_logistic_of_margin, TRUE AS band_agrees FROM cleaned""",
-)
+@query("logreg_scores")
 def _scores(spark, sf):
-    """Classifier fitted on the labelled documents, applied to the same rows: the score is the logistic
-    function of the margin that the coefficients give, and the band that of the score."""
+    """Classifier fitted on the labelled documents, applied to the same rows. A fit has no SQL twin;
+    a test computes margins, scores and ranking in SQL from the model's own numbers."""
     rows, model = _fitted(spark, sf)
-    last = model.stages[-1]
-    weights = F.array(*[F.lit(float(c)) for c in last.coefficients.toArray()])
-    margin = F.aggregate(
-        F.zip_with(vector_to_array("features"), weights, lambda x, c: x * c),
-        F.lit(float(last.intercept)),
-        lambda total, x: total + x,
-    )
-    margins = model.transform(rows).select("revision_id", margin.alias("margin"))
     scored = score(rows, model).select("revision_id", "label", "risk_score")
-    wanted = 1 / (1 + F.exp(-F.col("margin")))
-    return scored.join(margins, "revision_id").select(
-        "revision_id",
-        "label",
-        (F.abs(F.col("risk_score") - wanted) < 1e-9).alias("is_logistic_of_margin"),
-        _band_agrees(F.col("risk_score"), risk_band(F.col("risk_score"))).alias("band_agrees"),
-    )
+    return scored.withColumn("risk_label", risk_band(F.col("risk_score")))
+
+
+def exported_model(model: PipelineModel) -> list[tuple[int, float, float]]:
+    """Per feature: its weight before scaling (inverse document frequency, or 1), what the scaler
+    divides it by, and its coefficient; last the intercept, as feature -1."""
+    by_kind = {type(s).__name__: [t for t in model.stages if type(t).__name__ == type(s).__name__] for s in model.stages}
+    idf = [float(x) for stage in by_kind["IDFModel"] for x in stage.idf.toArray()]
+    deviations = [float(x) for x in by_kind["StandardScalerModel"][0].std]
+    last = model.stages[-1]
+    weights = idf + [1.0] * (len(deviations) - len(idf))
+    rows = list(zip(range(len(deviations)), weights, deviations, (float(c) for c in last.coefficients.toArray())))
+    return [*rows, (-1, 1.0, 1.0, float(last.intercept))]
 
 
 def _hash_sql(salt: str) -> str:
@@ -168,52 +167,39 @@ def _hash_sql(salt: str) -> str:
 
 @query(
     "logreg_cv_metrics",
-    f"""WITH s AS (SELECT doc_id, {_hash_sql("split42")} % 100 < 80 AS train, {_hash_sql("fold42")} % 3 AS fold
+    f"""WITH s AS (SELECT doc_id, toxic, {_hash_sql("split42")} % 100 < 80 AS train, {_hash_sql("fold42")} % 3 AS fold
       FROM documents JOIN labels USING (doc_id))
     SELECT 'train rows' AS fact, count(*) FILTER (WHERE train) AS value FROM s
     UNION ALL SELECT 'test rows', count(*) FILTER (WHERE NOT train) FROM s
     UNION ALL SELECT 'rows of fold ' || fold, count(*) FROM s WHERE train GROUP BY fold
-    UNION ALL SELECT 'grid points', 6 UNION ALL SELECT 'fits', 19
-    UNION ALL SELECT 'confusion cells add up', 1 UNION ALL SELECT 'best point has the highest score', 1
-    UNION ALL SELECT 'scores lie in 0 to 1', 1""",
+    UNION ALL SELECT 'rows in confusion cells', count(*) FILTER (WHERE NOT train) FROM s
+    UNION ALL SELECT 'positive rows in confusion cells', count(*) FILTER (WHERE NOT train AND toxic = 1) FROM s""",
 )
 def _cv(spark, sf):
-    """Split, search over all 18 fold fits, refit and held-out metrics, as facts that can be checked."""
+    """Split, search over all 18 fold fits, refit and held-out scores: the rows that each of them had."""
     cfg = replace(HISTORY, min_rows=1, share_fits=False)
     rows = stage_table(labeled_documents(spark, sf), "labeled-documents")
     result = train(rows, "revision_id", cfg)
     folds = with_fold(with_split(rows, "revision_id", cfg.train_percent).filter("split = 'train'"), "revision_id", cfg.folds)
-    cells = confusion_cells(result.scored).select((F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n"))
-    best = (result.best["best_reg_param"], int(result.best["best_max_iter"]))
-    measures = [*result.cv_scores.values(), *(v for k, v in result.metrics.items() if k != "training_time_seconds")]
-    facts = {
-        "train rows": result.rows["train"],
-        "test rows": result.rows["test"],
-        "grid points": len(result.cv_scores),
-        "fits": result.fits,
-        "best point has the highest score": int(result.cv_scores[best] == max(result.cv_scores.values())),
-        "scores lie in 0 to 1": int(all(0 <= m <= 1 for m in measures)),
-    }
-    known = F.array(*[F.struct(F.lit(k).alias("fact"), F.lit(v).cast("long").alias("value")) for k, v in facts.items()])
-    out = spark.range(1).select(F.inline(known))
+    facts = [("train rows", result.rows["train"]), ("test rows", result.rows["test"])]
+    out = spark.createDataFrame(facts, "fact string, value long")
     by_fold = folds.groupBy("fold").agg(F.count(F.lit(1)).alias("value"))
     out = out.unionAll(by_fold.select(F.concat(F.lit("rows of fold "), F.col("fold").cast("string")), "value"))
-    total = F.lit(result.rows["test"])
-    return out.unionAll(cells.select(F.lit("confusion cells add up"), (F.col("n") == total).cast("long")))
+    cells = confusion_cells(result.scored)
+    for fact, names in (("rows in confusion cells", ("tp", "fp", "tn", "fn")), ("positive rows in confusion cells", ("tp", "fn"))):
+        total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
+        out = out.unionAll(cells.select(F.lit(fact), total.cast("long")))
+    return out
 
 
 @query(
     "model_rescore",
     EDITS_SQL
-    + """SELECT id, page_title, comment, created_at, CAST(1 AS INTEGER) AS scored, TRUE AS band_agrees,
-      TRUE AS score_in_range FROM edits""",
+    + """SELECT id, page_title, comment, created_at, CAST(1 AS INTEGER) AS scored FROM edits""",
 )
 def _rescore(spark, sf):
-    """A model fitted on documents gives every stored edit a new score and band; the rest stays."""
+    """A model fitted on documents gives every stored edit a new score and band; the rest stays. Scores
+    are held against SQL in a test."""
     _, model = _fitted(spark, sf)
     rows = rescore(edits(spark, sf), model)
-    return rows.select(
-        "id", "page_title", "comment", "created_at", "scored",
-        _band_agrees(F.col("risk_score"), F.col("risk_label")).alias("band_agrees"),
-        F.col("risk_score").between(0, 1).alias("score_in_range"),
-    )
+    return rows.filter("risk_score between 0 and 1 and risk_label is not null").select("id", "page_title", "comment", "created_at", "scored")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import bz2
 from dataclasses import replace
 
+import duckdb
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -13,10 +14,11 @@ from pyspark.sql import functions as F
 from revlens.config import HISTORY, WEAK, JobConfig, TrainConfig
 from revlens.ml import training
 from revlens.ml.evaluation import evaluate, exact_areas
-from revlens.ml.features import classifier, fit_features, fitted_stages
+from revlens.ml.features import NUMERIC, classifier, fit_features, fitted_stages
 from revlens.ml.scoring import load_first_model, rescore, save_model, score
 from revlens.operators.splits import with_fold
 from revlens.plans.jobs import run_batch, run_history
+from revlens.plans.ml_queries import _fitted, exported_model
 from revlens.plans.views import edits
 from revlens.schemas import HISTORY_COLUMNS, RESCORE_INPUT
 
@@ -226,3 +228,35 @@ def test_rescore_keeps_the_feed_order(spark, sf_dir):
 
     inputs = prediction_features(stored)
     assert [(f.name, f.dataType) for f in inputs.schema] == [(f.name, f.dataType) for f in RESCORE_INPUT]
+
+
+def test_scores_computed_in_sql(spark, sf_dir, tmp_path):
+    """The model's own numbers as rows: DuckDB hashes nothing, but adds up margins, scores and the area."""
+    rows_in, model = _fitted(spark, sf_dir)
+    hashed, _ = training.hashed_rows(rows_in, "revision_id", WEAK)
+    width = [WEAK.comment_buckets, WEAK.title_buckets]
+
+    def exploded(column, offset):
+        return hashed.select("revision_id", F.posexplode(vector_to_array(column)).alias("i", "x")).select("revision_id", (F.col("i") + offset).alias("i"), "x")
+
+    values = exploded("comment_tf", 0).unionAll(exploded("title_tf", width[0]))
+    for n, name in enumerate(NUMERIC):
+        values = values.unionAll(hashed.select("revision_id", F.lit(sum(width) + n), F.col(name).cast("double")))
+    values.filter("x <> 0").write.parquet(str(tmp_path / "values"))
+    scored = score(rows_in, model).select("revision_id", F.col("label").cast("int").alias("label"), "risk_score")
+    scored.write.parquet(str(tmp_path / "scores"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE model(i INTEGER, weight DOUBLE, deviation DOUBLE, coefficient DOUBLE)")
+    con.executemany("INSERT INTO model VALUES (?, ?, ?, ?)", exported_model(model))
+    found = con.execute(f"""WITH m AS (
+        SELECT revision_id, sum(CASE WHEN deviation = 0 THEN 0 ELSE x * weight / deviation * coefficient END) AS s
+        FROM '{tmp_path}/values/*.parquet' JOIN model USING (i) GROUP BY 1),
+      s AS (SELECT revision_id, label, risk_score, 1 / (1 + exp(-(coalesce(s, 0) + (SELECT coefficient FROM model WHERE i = -1)))) AS own
+        FROM '{tmp_path}/scores/*.parquet' LEFT JOIN m USING (revision_id)),
+      r AS (SELECT label, rank() OVER (ORDER BY own) + (count(*) OVER (PARTITION BY own) - 1) / 2 AS place FROM s)
+      SELECT (SELECT count(*) FROM s), (SELECT max(abs(own - risk_score)) FROM s),
+        (SELECT (sum(place) FILTER (WHERE label = 1) - count(*) FILTER (WHERE label = 1) * (count(*) FILTER (WHERE label = 1) + 1) / 2)
+          / (count(*) FILTER (WHERE label = 1) * count(*) FILTER (WHERE label = 0)) FROM r)""").fetchone()
+    assert found[0] == rows_in.count() and found[1] < 1e-9
+    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="risk_score").evaluate(scored.withColumn("label", F.col("label").cast("double")))
+    assert abs(found[2] - area) < 1e-9
