@@ -182,7 +182,9 @@ def feed_page(
         return matching.limit(0)
     rest, before, _ = found
     order = [F.desc_nulls_last("created_at"), F.desc_nulls_last("id")]
-    return matching.filter(rest).orderBy(*order).limit(skip - before + page_size).offset(skip - before)
+    top = matching.filter(rest).orderBy(*order).limit(skip - before + page_size)  # no more than a bucket and a page
+    numbered = top.withColumn("_at", F.row_number().over(W.orderBy(*order)))
+    return numbered.filter(F.col("_at") > skip - before).orderBy("_at").select(*matching.columns)
 
 
 def feed_after(
