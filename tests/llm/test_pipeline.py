@@ -17,6 +17,7 @@ import corpus_pipeline
 from revlens.llm.common import read, staged
 from revlens.llm.queries import QUERIES
 from revlens.llm.secrets import MARK
+from tests.llm.test_pii import plain_row
 from tests.llm.test_texts import components, plain_fingerprint
 from tests.oracle import compare, connect
 
@@ -28,9 +29,24 @@ CONTRACT = {
     "op7_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op8_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op9_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op11_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"],
+    "op12_hardneg": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
+def test_personal_data_of_the_supplied_texts(spark, sf_dir):
+    rows = QUERIES["op11_pii"].run(spark, sf_dir)
+    assert rows.columns == CONTRACT["op11_pii"]
+    wanted = [plain_row(r.doc_id, r.text) for r in read(spark, sf_dir, "documents").collect()]
+    assert sorted(tuple(r)[:6] for r in rows.collect()) == sorted(wanted)
+
+
+@pytest.mark.parametrize("name", ["op12_hardneg", "op13_repair"])
+def test_agreed_columns(spark, sf_dir, name):
+    assert QUERIES[name].run(spark, sf_dir).columns == CONTRACT[name]
+
+
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
 def test_same_as_sql(spark, sf_dir, name):
     assert compare(spark, connect(sf_dir), sf_dir, QUERIES[name]) == []
