@@ -116,9 +116,9 @@ def exchange_events(turns: DataFrame) -> DataFrame:
     behind it is the result, a later call comes after the user's call before it; others are messages.
 
     Neighbouring turns are found by joins on (conversation, turn), so a conversation of any length is
-    never gathered. Rows that are alike in all four columns are one. All others come back, numbered
-    (``idx``) by role and text within their turn: of several user rows of a turn the first is the call
-    that is answered, the others are calls with ids of their own. Rows without a conversation or a
+    never gathered. All rows come back, repeated ones too, numbered (``idx``) by role and text within
+    their turn: of several user rows of a turn the first is the call that is answered, the others are
+    calls with ids of their own. Rows without a conversation or a
     turn are messages, one each, and link nothing.
     """
     rows = turns.select(
@@ -127,10 +127,13 @@ def exchange_events(turns: DataFrame) -> DataFrame:
     )
     nowhere = F.col("conv").isNull() | F.col("turn").isNull()
     lone = rows.where(nowhere).withColumn("idx", F.lit(0)).withColumn("result", F.lit(False))
-    number = F.row_number().over(Window.partitionBy("conv", "turn").orderBy("role", "text")) - 1
-    rows = rows.where(~nowhere).distinct().withColumn("idx", number)
-    ask = F.min(F.when(F.col("role") == "user", F.col("idx"))).over(Window.partitionBy("conv", "turn"))
-    rows = staged(rows.withColumn("ask", ask), "turns")
+    # rows alike are one row with their number until they are numbered, so a turn of many copies is small
+    rows = rows.where(~nowhere).groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
+    before = Window.partitionBy("conv", "turn").orderBy("role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("base", F.coalesce(F.sum("copies").over(before), F.lit(0)))
+    rows = rows.withColumn("ask", F.min(F.when(F.col("role") == "user", F.col("base").cast("int"))).over(Window.partitionBy("conv", "turn")))
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    rows = staged(rows.select("conv", "turn", "role", "text", (F.col("base") + F.col("copy")).cast("int").alias("idx"), "ask"), "turns")
     asked = rows.where("role = 'user' and idx = ask").select("conv", "turn")
     call_id = F.concat_ws(":", F.col("conv"), F.col("turn"), F.when(F.col("idx") != F.col("ask"), F.col("idx")))
     before = asked.select("conv", (F.col("turn") + 2).alias("turn"), F.lit(True).alias("follows"))

@@ -334,13 +334,14 @@ def test_plain_conversations(spark):
     turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", ""), (1, 2, "user", ""), (2, 0, "system", "s"), (2, 1, "assistant", None)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     rows = sorted((r.conv, r.turn, r.kind, r.linked) for r in chat.format_events(chat.exchange_events(df), {"reply": {}}).collect())
-    assert rows == [("1", 0, "call", True), ("1", 1, "result", True), ("1", 2, "call", False), ("2", 0, "message", False), ("2", 1, "message", False)]
+    assert rows == [("1", 0, "call", True), ("1", 1, "result", True), *[("1", 2, "call", False)] * 2, ("2", 0, "message", False), ("2", 1, "message", False)]
 
 
 def test_repeated_turns_and_rows_without_a_place_come_back(spark, tmp_path):
     turns = [
         (1, 0, "user", "a"), (1, 0, "user", "b"), (1, 0, "system", "s"), (1, 1, "assistant", "c"), (1, 1, "assistant", "d"),
         (None, 0, "user", "x"), (None, 0, "user", "x"), (None, 0, "assistant", "y"), (2, None, "user", "p"), (2, None, "tool", "q"),
+        *[(3, 0, "user", "same")] * 3, *[(3, 1, "assistant", "again")] * 2,
     ]
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
     from revlens.llm.queries import op6_chat
@@ -350,4 +351,6 @@ def test_repeated_turns_and_rows_without_a_place_come_back(spark, tmp_path):
         (1, 0, "call", "1:0", True, True), (1, 0, "call", "1:0:2", False, True), (1, 0, "message", None, False, True),
         (1, 1, "result", "1:0", True, True), (1, 1, "result", "1:0", True, True),
         *[(None, 0, "message", None, False, True)] * 3, *[(2, -1, "message", None, False, True)] * 2,
+        (3, 0, "call", "3:0", True, True), (3, 0, "call", "3:0:1", False, True), (3, 0, "call", "3:0:2", False, True),
+        *[(3, 1, "result", "3:0", True, True)] * 2,
     ], key=repr)
