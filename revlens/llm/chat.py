@@ -172,11 +172,18 @@ def _ordered(calls: DataFrame, links: DataFrame) -> DataFrame:
     A call keeps its own place unless a call it waits for stands later; then it follows that one, a
     hop behind. Places are raised by joins until none changes: at once where calls stand in order
     already, else in as many rounds as late calls follow each other. A call that would have to follow
-    itself is marked, and what it waits for is no longer heeded.
+    itself is marked, and what it waits for is no longer heeded. Where a later call stands before a
+    circle its place hides that; then calls are marked that others wait for and that stand more hops
+    behind it than the conversation has calls, which opens the circle: they are of one, or between two
+    calls of which the first waits for one.
     """
     own = F.struct(F.col("turn"), F.col("idx"), F.lit(0).alias("hops"))
-    places = staged(calls.select("conv", "id", own.alias("own"), own.alias("place"), F.lit(False).alias("cyclic")), "places")
+    sizes = calls.groupBy("conv").agg(F.count(F.lit(1)).alias("many"))
     links = staged(links, "waits")
+    awaited = links.select("conv", F.col("first").alias("id"), F.lit(True).alias("awaited")).distinct()
+    places = calls.select("conv", "id", own.alias("own"), own.alias("place"), F.lit(False).alias("cyclic"))
+    places = places.join(sizes, "conv").join(awaited, ["conv", "id"], "left")
+    places = staged(places.withColumn("many", F.when(F.col("awaited"), F.col("many"))).drop("awaited"), "places")
     while True:
         pushed = (
             links.join(places.select("conv", F.col("id").alias("first"), F.col("place").alias("p")), ["conv", "first"])
@@ -184,16 +191,20 @@ def _ordered(calls: DataFrame, links: DataFrame) -> DataFrame:
             .agg(F.max(F.struct("p.turn", "p.idx", (F.col("p.hops") + 1).alias("hops"))).alias("least"))
         )
         raised = places.join(pushed, ["conv", "id"], "left").withColumn(
-            "back", F.coalesce((F.col("least.turn") == F.col("own.turn")) & (F.col("least.idx") == F.col("own.idx")), F.lit(False))
+            "back",
+            F.coalesce(
+                ((F.col("least.turn") == F.col("own.turn")) & (F.col("least.idx") == F.col("own.idx"))) | (F.col("least.hops") > F.col("many")),
+                F.lit(False),
+            ),
         )
         raised = raised.select(
-            "conv", "id", "own",
+            "conv", "id", "own", "many",
             F.when(F.col("cyclic") | F.col("back"), F.col("own")).otherwise(F.greatest("place", F.coalesce("least", "place"))).alias("next"),
             "place", (F.col("cyclic") | F.col("back")).alias("cyclic"),
         )
         raised = staged(raised, "places")
         changed = raised.where(F.col("next") != F.col("place")).limit(1).count()
-        places = raised.select("conv", "id", "own", F.col("next").alias("place"), "cyclic")
+        places = raised.select("conv", "id", "own", "many", F.col("next").alias("place"), "cyclic")
         if not changed:
             return places.select("conv", "id", "place", "cyclic")
 

@@ -330,6 +330,17 @@ def test_calls_results_and_their_order(spark):
     assert chat.format_events(chat.events_of(df.limit(0)), {}).count() == 0
 
 
+def test_a_circle_behind_a_later_call_ends(spark):
+    rows = [
+        ("c", 1, 0, "call", "a", "t", "{}", ["b"]), ("c", 2, 0, "call", "b", "t", "{}", ["a", "z"]), ("c", 5, 0, "call", "z", "t", "{}", []),
+        ("c", 6, 0, "call", "e", "t", "{}", ["z"]), ("c", 3, 0, "call", "f", "t", "{}", ["a"]), ("d", 1, 0, "call", "a", "t", "{}", ["b"]), ("d", 2, 0, "call", "b", "t", "{}", []),
+    ]
+    got = chat.format_events(spark.createDataFrame(rows, chat._EVENT), {"t": {}}).collect()
+    valid = {(r.conv, r.call_id): r.valid for r in got}
+    assert not (valid["c", "a"] and valid["c", "b"])  # the circle is opened
+    assert valid["c", "z"] and valid["c", "e"] and valid["c", "f"] and valid["d", "a"] and valid["d", "b"]
+
+
 def test_plain_conversations(spark):
     turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", ""), (1, 2, "user", ""), (2, 0, "system", "s"), (2, 1, "assistant", None)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
