@@ -17,6 +17,7 @@ from revlens.ml.evaluation import evaluate, exact_areas
 from revlens.ml.features import NUMERIC, classifier, fit_features, fitted_stages
 from revlens.ml.scoring import load_first_model, rescore, save_model, score
 from revlens.operators.splits import with_fold
+from revlens.plans.catalog import catalog
 from revlens.plans.jobs import run_batch, run_history
 from revlens.plans.ml_queries import _fitted, exported_model
 from revlens.plans.views import edits
@@ -260,3 +261,36 @@ def test_scores_computed_in_sql(spark, sf_dir, tmp_path):
     assert found[0] == rows_in.count() and found[1] < 1e-9
     area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="risk_score").evaluate(scored.withColumn("label", F.col("label").cast("double")))
     assert abs(found[2] - area) < 1e-9
+
+
+def odd_tables(spark, path, n=60):
+    """Labelled documents, one id twice, and events."""
+    i = F.col("id")
+    ids = spark.range(n).unionAll(spark.range(1))
+    ids.select(
+        i.alias("doc_id"),
+        F.concat(F.lit("word"), (i % 5).cast("string"), F.lit(" extra"), (i % 3).cast("string")).alias("text"),
+        F.lit("en").alias("lang"),
+        F.concat(F.lit("site "), (i % 3).cast("string")).alias("source"),
+        (i * 7).alias("n_chars"),
+    ).write.parquet(f"{path}/documents.parquet")
+    spark.range(n).select(
+        i.alias("doc_id"), (i % 5 == 0).cast("int").alias("quality"), (i % 5 == 0).cast("int").alias("toxic")
+    ).write.parquet(f"{path}/labels.parquet")
+    spark.range(n).select(
+        i.alias("event_id"),
+        F.timestamp_seconds(1_704_067_200 + i * 900).alias("ts"),
+        (i % 13).alias("user_id"),
+        F.when(i % 4 == 0, "signup").otherwise("view").alias("event_type"),
+        (i * 2.5).alias("value"),
+        F.concat(F.lit('{"k": '), (i % 100).cast("string"), F.lit("}")).alias("props"),
+    ).write.parquet(f"{path}/events.parquet")
+
+
+def test_scores_say_what_holds_of_margin_and_band(spark, tmp_path):
+    """Every labelled row, a repeated id as often as it is there."""
+    odd_tables(spark, str(tmp_path))
+    got = catalog()["logreg_scores"].run(spark, str(tmp_path))
+    assert got.columns == ["revision_id", "label", "is_logistic_of_margin", "band_agrees"]
+    assert got.count() == 61
+    assert got.filter("is_logistic_of_margin and band_agrees").count() == 61
