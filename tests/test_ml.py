@@ -17,6 +17,7 @@ from revlens.ml.evaluation import evaluate, exact_areas
 from revlens.ml.features import NUMERIC, classifier, fit_features, fitted_stages
 from revlens.ml.scoring import load_first_model, rescore, save_model, score
 from revlens.operators.splits import with_fold
+from revlens.plans import ml_queries
 from revlens.plans.catalog import catalog
 from revlens.plans.jobs import run_batch, run_history
 from revlens.plans.ml_queries import _fitted, exported_model
@@ -294,3 +295,17 @@ def test_scores_say_what_holds_of_margin_and_band(spark, tmp_path):
     assert got.columns == ["revision_id", "label", "is_logistic_of_margin", "band_agrees"]
     assert got.count() == 61
     assert got.filter("is_logistic_of_margin and band_agrees").count() == 61
+
+
+def test_rescored_edits_all_come_back(spark, tmp_path, monkeypatch):
+    """A row with a bad score is shown as such, not left out."""
+    odd_tables(spark, str(tmp_path))
+    run = catalog()["model_rescore"].run
+    got = run(spark, str(tmp_path))
+    assert got.columns == ["id", "page_title", "comment", "created_at", "scored", "band_agrees", "score_in_range"]
+    assert got.count() == got.filter("band_agrees and score_in_range and scored = 1").count() == 60
+    bad = F.when(F.col("id") == "7", 1.5).otherwise(F.col("risk_score"))
+    monkeypatch.setattr(ml_queries, "rescore", lambda rows, model: rescore(rows, model).withColumn("risk_score", bad))
+    got = run(spark, str(tmp_path))
+    assert got.count() == 60
+    assert [r["id"] for r in got.filter("not score_in_range").collect()] == ["7"]
