@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revlens.functions.risk import risk_band
 from revlens.operators.features import article_edits, event_features
+from revlens.plans import io_queries
 from revlens.plans.jobs import run_compaction
 from revlens.schemas import PREDICTION, PREDICTION_COLUMNS
 from revlens.sinks.tables import append_batch, compact_latest
@@ -297,3 +298,20 @@ def test_pending_rows_are_scored_once(spark, tmp_path):
 def test_pending_scorer_needs_its_own_folder(spark, tmp_path):
     with pytest.raises(ValueError):
         start_pending_scorer(spark, str(tmp_path), f"{tmp_path}/", str(tmp_path / "c"))
+
+
+def test_landed_files_grow_in_number_with_the_events(spark, tmp_path, monkeypatch):
+    """The lines of a task stay as many, and no file gets all of the blank ones."""
+    i = F.col("id")
+    spark.range(4000).select(
+        i.alias("event_id"), F.timestamp_seconds(1_704_067_200 + i).alias("ts"), (i % 13).alias("user_id"),
+        F.lit("view").alias("event_type"), (i * 2.5).alias("value"), F.lit('{"k": 3}').alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(io_queries, "EVENTS_PER_LANDED_FILE", 250)
+    lines = spark.read.text(io_queries.land(spark, str(tmp_path), copies=2))
+    files = lines.groupBy(F.col("_metadata.file_name")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.trim("value") == "").alias("blank")
+    ).collect()
+    assert sum(f["n"] for f in files) == 5 * 4000 and sum(f["blank"] for f in files) == 2 * 4000
+    assert len(files) == 16 and max(f["n"] for f in files) < 3 * 5 * 250
+    assert max(f["blank"] for f in files) < 3 * 2 * 250
