@@ -26,9 +26,10 @@ def grams(text: str) -> list[str]:
 def build_index(predictions: DataFrame, path: str, block_rows: int = BLOCK_ROWS) -> None:
     """Writes the rows in blocks, the postings of their trigrams, and how many postings each trigram has.
 
-    A block is a stretch of time; its rows have a number in it. Postings name block and row, lie in order
-    of trigram, and are dealt out by range over all three, so a trigram that every row has is many tasks
-    and files. Rows of a NULL id, repeated ids and NULL texts are rows like others.
+    A block is a stretch of time; its rows have a number in it. Postings name block and row. The task that
+    reads a stretch of blocks makes and keeps their postings, in order of trigram: none is moved, a trigram
+    that every row has is many tasks and files, and a search reads its trigrams' pages of each file. Rows
+    of a NULL id, repeated ids and NULL texts are rows like others.
     """
     spark = predictions.sparkSession
     many = max(1, -(-predictions.count() // block_rows))
@@ -44,8 +45,8 @@ def build_index(predictions: DataFrame, path: str, block_rows: int = BLOCK_ROWS)
         return F.transform(F.sequence(F.lit(1), F.length(text) - GRAM + 1), lambda i: F.substring(text, i, F.lit(GRAM)))
 
     gram = F.explode(F.array_distinct(F.flatten(F.transform(low, parts)))).alias("gram")
-    postings = stored.select(gram, "block", "row").repartitionByRange("gram", "block", "row")
-    postings.sortWithinPartitions("gram", "block", "row").write.mode("errorifexists").parquet(f"{path}/postings")
+    postings = stored.select(gram, "block", "row").sortWithinPartitions("gram")
+    postings.write.mode("errorifexists").parquet(f"{path}/postings")
     counts = spark.read.parquet(f"{path}/postings").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     counts.repartitionByRange("gram").sortWithinPartitions("gram").write.mode("errorifexists").parquet(f"{path}/counts")
 
@@ -89,13 +90,16 @@ def search_index(
     risk_label: str | None = None,
     scored_only: bool = False,
     wildcards: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """What ``feed_filter`` with this search finds, by the index.
 
+    ``rows`` is what ``read_rows`` gave for this index: several searches then list its blocks once.
+
     Candidates are the rows whose columns hold all probed trigrams together; the filter itself verifies
     them. Blocks without candidates are not read. A search of less than three characters reads all rows.
     """
-    rows = read_rows(spark, path, schema)
+    rows = read_rows(spark, path, schema) if rows is None else rows
     found = candidates(spark, path, search.strip(), wildcards)
     if found is not None:
         rows = rows.join(found, ["block", "row"], "left_semi")

@@ -138,6 +138,29 @@ def test_only_postings_of_the_text_and_its_blocks_are_read(spark, indexed):
     assert "dynamicpruning" in whole.lower()
 
 
+def test_postings_stay_where_they_are_made(spark, tmp_path):
+    """A block's postings lie in one file, in order of trigram; searches may share the listed blocks."""
+    df = spark.createDataFrame([prediction(f"{n}", f"2024-01-01T00:{n % 60:02d}", comment=f"word {n * 7919 % 500}") for n in range(400)], PREDICTION)
+    path = str(tmp_path / "i")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "20000"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        search.build_index(df, path, 100)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    postings = spark.read.parquet(f"{path}/postings").withColumn("file", F.input_file_name())
+    files = postings.groupBy("block").agg(F.count_distinct("file").alias("n")).collect()
+    assert len(files) > 2 and {f["n"] for f in files} == {1} and postings.select("file").distinct().count() > 1
+    for (file,) in postings.select("file").distinct().collect():
+        held = [r["gram"] for r in spark.read.parquet(file).coalesce(1).collect()]
+        assert held == sorted(held)
+    stored = search.read_rows(spark, path, df.schema)
+    got = search.search_index(spark, path, df.schema, "word 42", rows=stored)
+    assert rows(got) == rows(feed.feed_filter(df, search="word 42")) and got.count() > 0
+
+
 def test_a_row_may_be_searched_by_a_number(spark, indexed):
     df, path = indexed
     got = search.search_index(spark, path, df.schema, "1499", wiki="enwiki")
