@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from revlens.plans import io_queries
 from revlens.schemas import HISTORY_COLUMNS, REVISION
 from revlens.sinks.documents import read_document, write_dataset_manifest, write_document
 from revlens.sinks.tables import append_delta, archive, write_revisions
@@ -218,3 +219,22 @@ def test_document_round_trip(spark, tmp_path):
     write_document(spark.range(1).select(F.lit("r").alias("run_id"), F.lit(3).alias("n")), str(tmp_path / "d"))
     assert len(list((tmp_path / "d").glob("*.json"))) == 1
     assert read_document(spark.read.json(str(tmp_path / "d"))) == {"n": 3, "run_id": "r"}
+
+
+def test_dump_files_are_of_about_as_many_documents(spark, tmp_path, monkeypatch):
+    """However the table is cut; every line of every text is a revision, copies and rows without a text too."""
+    i = F.col("id")
+    ids = spark.range(400).coalesce(1)
+    docs = ids.select(
+        i.alias("doc_id"),
+        F.when(i % 50 > 0, F.concat_ws("\n", F.lit("first"), i.cast("string"))).alias("text"),
+        F.lit("en").alias("lang"), F.lit("site").alias("source"), F.lit(1).cast("bigint").alias("n_chars"),
+    )
+    docs.unionAll(docs.filter("doc_id < 5")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(io_queries, "DOCS_PER_DUMP_FILE", 50)
+    path = io_queries.write_dump(spark, str(tmp_path))
+    files = spark.read.text(path).filter(F.contains("value", F.lit("<page>"))).groupBy(F.col("_metadata.file_name")).count().collect()
+    assert len(files) == 9 and max(f["count"] for f in files) < 3 * 50
+    got = xml.read_revisions(spark, path)
+    assert got.count() == 2 * (400 - 8) + 2 * 4
+    assert got.select("page_id").distinct().count() == 400 - 8
