@@ -315,3 +315,47 @@ def test_landed_files_grow_in_number_with_the_events(spark, tmp_path, monkeypatc
     assert sum(f["n"] for f in files) == 5 * 4000 and sum(f["blank"] for f in files) == 2 * 4000
     assert len(files) == 16 and max(f["n"] for f in files) < 3 * 5 * 250
     assert max(f["blank"] for f in files) < 3 * 2 * 250
+
+
+@pytest.fixture
+def written(spark, tmp_path, monkeypatch):
+    """A folder of 4000 events of two wikis, what their landed lines take, and what queries land in bytes."""
+    i = F.col("id")
+    spark.range(4000).select(
+        i.alias("event_id"), F.timestamp_seconds(1_704_067_200 + i).alias("ts"), (i % 13).alias("user_id"),
+        F.when(i % 5 == 0, "error").otherwise("view").alias("event_type"), (i * 2.5).alias("value"),
+        F.concat(F.lit('{"k": '), i % 101, F.lit("}")).alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    numbers = iter(range(1000))
+    monkeypatch.setattr(io_queries, "scratch_path", lambda _, name: str(tmp_path / "scratch" / f"{name}-{next(numbers)}"))
+
+    def landed():
+        return sum(f.stat().st_size for f in (tmp_path / "scratch").glob("landing*/part-*"))
+
+    plain = spark.read.text(io_queries.land(spark, str(tmp_path))).agg(F.sum(F.octet_length("value") + 1)).first()[0]
+    assert landed() == plain
+    return str(tmp_path), plain, lambda: landed() - plain
+
+
+def edits_of(spark, folder):
+    """Ids of the edits of article space, told by the rows of ``written``."""
+    events = event_features(article_edits(io_queries.raw_events(spark, folder)))
+    return rows(events.select(F.coalesce(F.col("revision.new"), F.col("id")).cast("string")))
+
+
+def test_two_writers_land_the_events_once_and_packed(spark, written):
+    folder, plain, landed = written
+    found = io_queries._two_writers(spark, folder)
+    assert rows(found.select("rev_id")) == edits_of(spark, folder)
+    assert rows(found.groupBy("wiki").count().select("wiki")) == [("dewiki",), ("enwiki",)]
+    assert 0 < landed() < plain / 2
+
+
+def test_a_wiki_is_landed_in_files_of_some_lines(spark, tmp_path, written, monkeypatch):
+    folder, _, _ = written
+    monkeypatch.setattr(io_queries, "LINES_PER_WIKI_FILE", 250)
+    found = io_queries._two_writers(spark, folder)
+    assert rows(found.select("rev_id")) == edits_of(spark, folder)
+    lines = spark.read.text(str(tmp_path / "scratch" / "landing-enwiki-*"))
+    sizes = rows(lines.groupBy(F.col("_metadata.file_name")).count().select("count"))
+    assert sum(n for n, in sizes) == 3200 and len(sizes) > 10 and max(n for n, in sizes) <= 250
