@@ -359,3 +359,34 @@ def test_a_wiki_is_landed_in_files_of_some_lines(spark, tmp_path, written, monke
     lines = spark.read.text(str(tmp_path / "scratch" / "landing-enwiki-*"))
     sizes = rows(lines.groupBy(F.col("_metadata.file_name")).count().select("count"))
     assert sum(n for n, in sizes) == 3200 and len(sizes) > 10 and max(n for n, in sizes) <= 250
+
+
+def test_scored_files_are_dropped_if_asked(spark, landing, tmp_path):
+    """All but those of a run's last batch; what is stored, and where a restart goes on, stay the same."""
+    kept = run(spark, landing, tmp_path)
+    wanted = rows(read_predictions(spark, kept.predictions).select(COMPARED))
+    assert len(list((tmp_path / "landing").iterdir())) == 4
+    paths = ScorerPaths(str(tmp_path / "again"))
+
+    def drain():
+        query = start_scorer(
+            spark, landing, str(tmp_path / "c"), paths, trigger_seconds=None, max_files=1, drop_landed=True
+        )
+        query.awaitTermination()
+        return sum(p["numInputRows"] > 0 for p in query.recentProgress)
+
+    assert drain() == 4
+    assert rows(read_predictions(spark, paths.predictions).select(COMPARED)) == wanted
+    assert len(list((tmp_path / "landing").iterdir())) == 1
+    assert drain() == 0
+    (tmp_path / "landing" / "batch_9.jsonl").write_text(json.dumps(event(77)) + "\n")
+    assert drain() == 1
+    assert read_predictions(spark, paths.predictions).count() == len(wanted) + 1
+    assert spark.read.parquet(paths.predictions).select("batch_id").distinct().count() == 5
+
+
+def test_compaction_query_keeps_no_landed_copies(spark, written):
+    folder, plain, landed = written
+    found = io_queries._compacted(spark, folder)
+    assert rows(found.select("rev_id")) == edits_of(spark, folder)
+    assert 0 < landed() < plain
